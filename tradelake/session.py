@@ -26,13 +26,21 @@ def build_session(app: str = "tradelake", master: str | None = None, **extra: st
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the library's settings to a session somebody else built."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    # A listing job starts one task per folder up to this number; hourly zones
+    # have thousands of folders, so a few waves of tasks are enough.
+    listing = max(32, 4 * spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listing))
+    if spark.sparkContext.master.startswith("local"):
+        # Small data on one machine: merging it into one task would leave the
+        # other cores idle while that task opens hundreds of hourly files.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
     return spark
 
 

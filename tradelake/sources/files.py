@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from py4j.java_gateway import JavaObject
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def with_source_path(df: DataFrame, name: str = "path") -> DataFrame:
     """Add the file each row came from."""
     try:
         return df.withColumn(name, F.col("_metadata.file_path"))
-    except Exception:  # sources without a metadata column, such as RDD-backed scans
+    except AnalysisException:  # sources without a metadata column, such as RDD-backed scans
         return df.withColumn(name, F.input_file_name())
 
 
@@ -61,4 +62,4 @@ def reset_table(spark: SparkSession, name: str, path: str, root: str | None = No
 
 def export_result(df: DataFrame, path: str) -> None:
     """Write a query result as CSV with a header; null and empty text stay apart."""
-    df.write.mode("overwrite").option("header", True).option("emptyValue", '""').csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path)

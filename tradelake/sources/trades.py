@@ -9,15 +9,16 @@ from tradelake.functions import records
 from tradelake.schemas import PROCESSED, PROCESSED_PARTITIONS, TRADE_TEXT
 
 
-def read_trades_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_trades_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Comma-separated trades with a header, every column as text.
 
     Columns are found by header name, so their order in the file does not matter.
+    ``multiline`` accepts line breaks inside quotes but reads each file in one task.
     """
-    found = spark.read.option("header", True).option("multiLine", False).csv(path)
-    missing = [name for name in TRADE_TEXT.names if name not in found.columns]
+    found = spark.read.option("header", True).option("multiLine", multiline).csv(path)
     if not found.columns:
         return spark.createDataFrame([], TRADE_TEXT)
+    missing = [name for name in TRADE_TEXT.names if name not in found.columns]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}")
     return found.select(*TRADE_TEXT.names)
