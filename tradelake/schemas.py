@@ -61,20 +61,20 @@ TOPIC_RECORD = T.StructType(
     ]
 )
 
+# The names an enum column may hold.
+PAYMENT_TYPES = ["UNKNOWN", "ONE", "TWO"]
+
 PAYMENT = T.StructType(
     [
         T.StructField("counterPartyName", T.StringType()),
         T.StructField("groupingId", T.StringType()),
         T.StructField("payeeId", T.StringType()),
         T.StructField("message", T.StringType()),
-        T.StructField("type", T.StringType(), False),
+        T.StructField("type", T.StringType(), False, {"enum": PAYMENT_TYPES}),
         T.StructField("otherAccountId", T.StringType()),
     ]
 )
 
-# The names an enum column may hold.
-PAYMENT_TYPES = ["UNKNOWN", "ONE", "TWO"]
-
 CUSTOMER = T.StructType(
     [
         T.StructField("customerId", T.StringType(), False),

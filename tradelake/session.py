@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -67,3 +69,15 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A folder name under the shared folder that no other run uses."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, for runs that did not use --py-files."""
+    context = spark.sparkContext
+    if getattr(context, "_tradelake_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):  # already inside an archive otherwise
+        bundle = os.path.join(tempfile.mkdtemp(prefix="tradelake-py-"), "tradelake")
+        context.addPyFile(shutil.make_archive(bundle, "zip", os.path.dirname(here), "tradelake"))
+    context._tradelake_shipped = True
