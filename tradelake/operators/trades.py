@@ -41,16 +41,18 @@ def trade_json() -> Column:
     return F.to_json(F.struct(*TRADE.names))
 
 
-def format_events(df: DataFrame, value: str = "value") -> DataFrame:
-    """One display line per record plus the full JSON; absent fields show as None."""
-    fields = records.trade_fields(F.col(value))
-    names = ["trans_id", "symbol", "price", "amount", "type"]
+# The fields of the display line.
+SHOWN = ["trans_id", "symbol", "price", "amount", "type"]
 
-    def shown(name: str) -> Column:
-        got = F.try_variant_get(F.col("_fields")[name], "$", "string")
-        return F.concat(F.lit(f"{name}="), F.coalesce(got, F.lit("None")))
 
-    line = F.concat(F.lit("Event: "), F.concat_ws(" ", *[shown(name) for name in names]))
+def format_events(df: DataFrame, value: str = "value") -> DataFrame:
+    """One display line per record plus the full JSON; absent fields show as None."""
+    # Read as text, numbers keep the digits they were sent with.
+    fields = F.from_json(value, ", ".join(f"`{name}` string" for name in SHOWN))
+    shown = [
+        F.concat(F.lit(f"{name}="), F.coalesce(F.col("_fields")[name], F.lit("None"))) for name in SHOWN
+    ]
+    line = F.concat(F.lit("Event: "), F.concat_ws(" ", *shown))
     return (
         df.withColumn("_fields", fields)
         .withColumn("line", line)
