@@ -19,12 +19,12 @@ def decode_envelope(df: DataFrame, data: str = "data", value: str = "value") ->
 
 def validate(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``reason``: null for a good record, else the first rule it breaks."""
-    fields = "_fields"
-    return (
-        df.withColumn(fields, records.trade_fields(F.col(value)))
-        .withColumn("reason", records.failure(F.col(value), F.col(fields)))
-        .drop(fields)
-    )
+    fields = F.col("_fields")
+    parsed = df.withColumn("_fields", records.trade_fields(F.col(value)))
+    # A one-element explode, because a filter on a plain column would be pushed
+    # down with the expression put in its place, parsing the text for every rule.
+    reason = F.explode(F.array(records.failure(F.col(value), fields)))
+    return parsed.select(*df.columns, reason.alias("reason"))
 
 
 def mark(df: DataFrame, data: str = "data") -> DataFrame:

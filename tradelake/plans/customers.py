@@ -61,7 +61,7 @@ def _flat(df: DataFrame) -> DataFrame:
         "isActive",
         "age",
         "balance",
-        F.col("accountBalance_logical_dec").alias("account"),
+        F.col("accountBalance_logical_dec").cast("string").alias("account"),
         F.array_join("array_of_strings", ",").alias("names"),
         F.col(f"{paid}.counterPartyName").alias("counterparty"),
         F.col(f"{paid}.groupingId").alias("grouping_id"),
@@ -81,7 +81,7 @@ def _avro(spark: SparkSession, sf_dir: str, label: str) -> str:
 
 @query(f"""
 WITH {CUSTOMERS_SQL}
-SELECT customerId, isActive, age, balance, account, array_to_string(names, ',') AS names,
+SELECT customerId, isActive, age, balance, CAST(account AS VARCHAR) AS account, array_to_string(names, ',') AS names,
        counterparty, grouping_id, kind, CAST(NULL AS VARCHAR) AS message, key1, key2, day
 FROM customers
 """)
@@ -105,7 +105,7 @@ def avro_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {CUSTOMERS_SQL}
 SELECT customerId, isActive, CAST(age AS BIGINT) AS age, CAST(balance AS DOUBLE) AS balance,
-       CAST(account AS DECIMAL(12, 4)) AS account, array_to_string(names, ',') AS names,
+       CAST(CAST(account AS DECIMAL(12, 4)) AS VARCHAR) AS account, array_to_string(names, ',') AS names,
        counterparty, grouping_id, kind, CAST(NULL AS INTEGER) AS message, key1, key2, day
 FROM customers
 """)
@@ -183,7 +183,7 @@ def list_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(20, 4)) - 5000 AS DECIMAL(20, 4)) AS balance FROM customer
+SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(20, 4)) - 5000 AS VARCHAR) AS balance FROM customer
 """)
 def decimal_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Balances, moved to both signs, out of their eight-byte unscaled form."""
@@ -191,5 +191,5 @@ def decimal_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     unscaled = (money * 10000).cast("bigint")
     data = F.unhex(F.lpad(F.hex(unscaled), 16, "0"))
     return table(spark, sf_dir, "customer").select(
-        "c_custkey", decimal_from_bytes(data, 20, 4).alias("balance")
+        "c_custkey", decimal_from_bytes(data, 20, 4).cast("string").alias("balance")
     )

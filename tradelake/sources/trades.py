@@ -30,10 +30,11 @@ def parse_raw(df: DataFrame, value: str = "value") -> DataFrame:
     A plain JSON read would lose records the check lets pass, such as ``"12"``
     or ``1.7`` in an integer field.
     """
-    return df.withColumn("_fields", records.trade_fields(F.col(value))).select(
-        *records.typed_trade(F.col("_fields")),
-        *[name for name in df.columns if name != value and name not in TRADE_TEXT.names],
-    )
+    kept = [name for name in df.columns if name != value and name not in TRADE_TEXT.names]
+    parsed = df.withColumn("_fields", records.trade_fields(F.col(value)))
+    # As a generator, so that filters above do not repeat the parse.
+    trade = F.inline(F.array(F.struct(*records.typed_trade(F.col("_fields")))))
+    return parsed.select(trade, *kept)
 
 
 def read_raw(spark: SparkSession, path: str, parts: str = "") -> DataFrame:

@@ -35,13 +35,13 @@ def archive_topics(
 ) -> StreamingQuery:
     """Archive a topic stream under ``path/topic=/year=/month=/day=[/hour=]``.
 
-    ``max_records`` bounds a file and ``tasks`` sets how many tasks write; None
-    leaves it to the source. An unbounded run uses :data:`FLUSH_INTERVAL`.
+    ``max_records`` bounds a file and ``tasks`` the number of tasks that write; a
+    continuous run passes :data:`FLUSH_INTERVAL`. The rebalance gathers a folder's
+    records and splits a folder too large for one task.
     """
-    lines = archive_lines(records, hourly)
-    if tasks:
-        lines = lines.repartition(tasks)
     names = ["topic", *times.PARTS[: 4 if hourly else 3]]
+    gather = [tasks, *names] if tasks else names
+    lines = archive_lines(records, hourly).hint("rebalance", *gather)
     writer = (
         lines.writeStream.format("text").partitionBy(*names).option("maxRecordsPerFile", max_records)
     )
