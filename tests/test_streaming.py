@@ -21,7 +21,7 @@ from tradelake.streaming.log import LATEST, read_stream
 from tradelake.streaming.queries import batch_counts, finish, start
 from tradelake.streaming.refining import refine_stream
 
-FEW = F.col("seq") < 120
+FEW = "seq < 120"
 
 
 def few(spark):

@@ -25,6 +25,15 @@ def hour_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH")
 
 
+def hour_start(seconds: Column | str) -> Column:
+    """Epoch seconds at the start of the hour; null where :func:`event_time` is null.
+
+    One to one with :func:`hour_text`, and much cheaper to group and sort by.
+    """
+    value = F.col(seconds) if isinstance(seconds, str) else seconds
+    return F.when(value.between(FIRST_SECOND, LAST_SECOND), value - F.pmod(value, F.lit(3600)))
+
+
 def year_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy")
 

@@ -45,11 +45,7 @@ def rank_in(df: DataFrame, keys: list[str], order: list[Column], rank: str = "rn
     )
 
 
-def with_hour(df: DataFrame) -> DataFrame:
-    return df.withColumn("HourlyBucket", times.hour_text(times.event_time("transaction_ts")))
-
-
-HOUR_KEYS = ["symbol", "type", "HourlyBucket"]
+HOUR_KEYS = ["symbol", "type", "_hour"]
 
 
 def by_dollars() -> list[Column]:
@@ -57,8 +53,20 @@ def by_dollars() -> list[Column]:
     return [F.col("dollar_amount").desc_nulls_last(), F.col("trans_id").asc()]
 
 
+def _named_hour(df: DataFrame) -> DataFrame:
+    bucket = times.hour_text(times.event_time("_hour"))
+    return df.withColumn("HourlyBucket", bucket).drop("_hour")
+
+
 def top_trades_per_hour(trades: DataFrame, n: int = 1) -> DataFrame:
     """The largest trades of each symbol, side and event hour."""
-    best = top_in(with_hour(trades), HOUR_KEYS, by_dollars(), n)
+    hourly = trades.withColumn("_hour", times.hour_start("transaction_ts"))
+    best = _named_hour(top_in(hourly, HOUR_KEYS, by_dollars(), n))
     year = times.year_text(times.event_time("transaction_ts"))
     return order_by(best.withColumn("year", year), "HourlyBucket", "symbol", "type", "rnk")
+
+
+def rank_trades_per_hour(trades: DataFrame) -> DataFrame:
+    """Every trade with its place by dollars within symbol, side and event hour."""
+    hourly = trades.withColumn("_hour", times.hour_start("transaction_ts"))
+    return _named_hour(rank_in(hourly, HOUR_KEYS, by_dollars()))

@@ -23,17 +23,25 @@ def _converted(name: str, kind: str) -> Column:
     return F.col(name)
 
 
-def coerce_trades(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed rows, and the text rows with a number field that does not convert."""
-    numbers = [F.col(f"_{name}") for name in records.NUMBERS]
-    checked = df.withColumns({f"_{n}": _converted(n, k) for n, k in records.NUMBERS.items()})
+def _checked(df: DataFrame) -> DataFrame:
+    """Text rows with their converted numbers, and whether all of those converted."""
+    numbers = {f"_{name}": _converted(name, kind) for name, kind in records.NUMBERS.items()}
     good = F.lit(True)
-    for column in numbers:
-        good = good & column.isNotNull()
-    typed = checked.filter(good).select(
+    for name in numbers:
+        good = good & F.col(name).isNotNull()
+    return df.withColumns(numbers).withColumn("_good", good)
+
+
+def _typed(checked: DataFrame) -> DataFrame:
+    return checked.filter("_good").select(
         *[F.col(f"_{n}" if n in records.NUMBERS else n).alias(n) for n in TRADE.names]
     )
-    return typed, checked.filter(~good).select(*df.columns)
+
+
+def coerce_trades(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Typed rows, and the text rows with a number field that does not convert."""
+    checked = _checked(df)
+    return _typed(checked), checked.filter("NOT _good").select(*df.columns)
 
 
 def trade_json() -> Column:
@@ -105,35 +113,36 @@ def with_clocks(df: DataFrame, arrival: str = "arrival_ts") -> DataFrame:
     ).withColumn("late", F.col("arrival_hour") > F.col("event_hour"))
 
 
-def delivery_summary(typed: DataFrame, errors: DataFrame, sample: int = 10) -> DataFrame:
-    """One row: rows sent, rows refused, and the first ``sample`` trades as JSON."""
-    sent = typed.agg(F.count("*").alias("sent"))
-    refused = errors.agg(F.count("*").alias("errors"))
-    first = (
-        first_rows(typed, ["trans_id"], sample)
-        .groupBy()
-        .agg(F.array_sort(F.collect_list(F.struct("trans_id", trade_json().alias("event")))).alias("s"))
-        .select(F.transform("s", lambda e: e["event"]).alias("events_sample"))
-    )
-    # Three one-row results, joined on a constant so that no product is planned.
+def delivery_summary(df: DataFrame, sample: int = 10) -> DataFrame:
+    """One row for a run over text rows: sent, refused, and the first trades sent as JSON."""
+    checked = _checked(df)
     one = F.lit(1).alias("_one")
-    return (
-        sent.select("*", one)
-        .join(refused.select("*", one), "_one")
-        .join(first.select("*", one), "_one")
-        .drop("_one")
+    counts = checked.agg(
+        F.count_if("_good").alias("sent"), F.count_if(~F.col("_good")).alias("errors"), one
     )
+    entry = F.struct("trans_id", trade_json().alias("event"))
+    first = first_rows(_typed(checked), ["trans_id"], sample).agg(
+        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["event"]).alias("events_sample"), one
+    )
+    # Two one-row results, joined on a constant so that no product is planned.
+    return counts.join(first, "_one").drop("_one")
+
+
+def delivered_ids(typed: DataFrame) -> DataFrame:
+    """The ids of all trades sent; a trade drawn twice is listed twice."""
+    return typed.select("trans_id")
 
 
 def deliver_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> dict[str, float]:
-    """Run a write once and report rows sent, seconds taken and rows per second."""
+    """Coerce text rows and write the good ones, counting both kinds in the same pass."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("sent"))
+    counts = [F.count_if("_good").alias("sent"), F.count_if(~F.col("_good")).alias("errors")]
     start = time.monotonic()
-    write(counted)
+    write(_typed(_checked(df).observe(seen, *counts)))
     elapsed = time.monotonic() - start
-    sent = seen.get["sent"]
-    return {"sent": sent, "elapsed": round(elapsed, 2), "rate": sent / elapsed if elapsed > 0 else 0.0}
+    found = seen.get
+    rate = found["sent"] / elapsed if elapsed > 0 else 0.0
+    return {**found, "elapsed": round(elapsed, 2), "rate": rate}
 
 
 def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:

@@ -51,7 +51,7 @@ def _arrival_parts(df: DataFrame) -> DataFrame:
 
 @query(TOP_SQL)
 def top_trades_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ranking.top_trades_per_hour(_arrival_parts(trades(spark, sf_dir)))
+    return _arrival_parts(ranking.top_trades_per_hour(trades(spark, sf_dir)))
 
 
 @query(f"""
@@ -62,9 +62,8 @@ SELECT {BUCKET_SQL} AS HourlyBucket, symbol, type, trans_id,
 FROM trades
 """)
 def ranked_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly = ranking.with_hour(trades(spark, sf_dir))
-    rows = hourly.select(*ranking.HOUR_KEYS, "trans_id", "dollar_amount")
-    return ranking.rank_in(rows, ranking.HOUR_KEYS, ranking.by_dollars()).drop("dollar_amount")
+    rows = trades(spark, sf_dir).select("transaction_ts", "symbol", "type", "trans_id", "dollar_amount")
+    return ranking.rank_trades_per_hour(rows).drop("transaction_ts", "dollar_amount")
 
 
 @query(f"""
@@ -91,13 +90,13 @@ def late_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.with_clocks(trades(spark, sf_dir)).select("trans_id", "arrival_hour", "event_hour", "late")
 
 
-def _csv(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades through a CSV file in which every fiftieth price is no number."""
     path = run_dir(spark, "csv")
     price = F.when(F.col("trans_id") % 50 == 7, F.lit("n/a")).otherwise(F.col("price").cast("string"))
     rows = trades(spark, sf_dir).withColumn("price", price).select(*TRADE.names)
     rows.write.option("header", True).csv(path)
-    return ops.coerce_trades(read_trades_csv(spark, path))
+    return read_trades_csv(spark, path)
 
 
 @query(f"""
@@ -106,7 +105,7 @@ SELECT transaction_ts, symbol, price, amount, dollar_amount, type, trans_id
 FROM trades WHERE trans_id % 50 <> 7
 """)
 def scan_trades_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _csv(spark, sf_dir)[0]
+    return ops.coerce_trades(_csv(spark, sf_dir))[0]
 
 
 @query(f"""
@@ -115,7 +114,7 @@ SELECT CAST(trans_id AS VARCHAR) AS trans_id, symbol, 'n/a' AS price, type
 FROM trades WHERE trans_id % 50 = 7
 """)
 def csv_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _csv(spark, sf_dir)[1].select("trans_id", "symbol", "price", "type")
+    return ops.coerce_trades(_csv(spark, sf_dir))[1].select("trans_id", "symbol", "price", "type")
 
 
 @query(f"""
@@ -126,7 +125,7 @@ SELECT (SELECT count(*) FROM good) AS sent,
         FROM (SELECT * FROM good ORDER BY trans_id LIMIT 10)) AS sample
 """)
 def delivery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = ops.delivery_summary(*_csv(spark, sf_dir))
+    summary = ops.delivery_summary(_csv(spark, sf_dir))
 
     def shown(event: Column) -> Column:
         parts = [F.get_json_object(event, f"$.{name}") for name in ("trans_id", "symbol")]
