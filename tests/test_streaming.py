@@ -18,7 +18,7 @@ from tradelake.sources.trades import parse_raw, read_processed, read_raw
 from tradelake.streaming.archive import archive_topics
 from tradelake.streaming.delivery import deliver
 from tradelake.streaming.log import LATEST, read_stream
-from tradelake.streaming.queries import batch_counts, finish, start
+from tradelake.streaming.queries import batch_counts, display, finish, start
 from tradelake.streaming.refining import refine_stream
 
 FEW = "seq < 120"
@@ -163,3 +163,24 @@ def test_archive_transform_order(spark):
     assert topics.archive_transform(frame).first().value == (
         '{"msg_payload":"eyJrIjogNjl9","msg_partition":2,"msg_offset":5,"msg_ts":1704067201999}'
     )
+
+
+def test_streams_run_adaptively(spark, folder, capsys):
+    """The rebalance before a stream's sink relies on it."""
+    logs.write_stream_log(few(spark), f"{folder}/log", 2)
+    raw, errors = deliver(
+        read_stream(spark, f"{folder}/log"), f"{folder}/raw", f"{folder}/errors", f"{folder}/ck"
+    )
+    finish(raw, errors)
+    capsys.readouterr()
+    raw.explain()
+    plan = capsys.readouterr().out
+    assert "AdaptiveSparkPlan isFinalPlan=true" in plan and "AQEShuffleRead" in plan
+    assert plan.count("from_json(") in (1, 2)  # one per plan shown
+
+
+def test_display(spark, folder):
+    logs.write_stream_log(few(spark), f"{folder}/log", 2)
+    query = display(read_stream(spark, f"{folder}/log"), f"{folder}/ck")
+    finish(query)
+    assert sum(n for _, n in batch_counts(query)) == 120

@@ -158,3 +158,26 @@ def test_messages(spark):
     pair = kafka_columns(frame).first()
     assert pair.key.startswith(b"SYM_") and pair.value.startswith(b'{"transaction_ts":')
     assert repeat_record(spark, "x", 10_000).agg(F.count("*"), F.countDistinct("value")).first() == (10_000, 1)
+
+
+def test_a_hot_partition_is_split_and_stays_whole(spark, folder):
+    """A third of all rows belong to one hour of one symbol."""
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)
+    rows = spark.range(0, 60_000, 1, 12).select(
+        (1704067200 + key * 3600).cast("bigint").alias("transaction_ts"),
+        F.lit("HOT").alias("symbol"),
+        *[F.rand(1).alias(name) for name in ("price", "amount", "dollar_amount")],
+        F.lit("buy").alias("type"),
+        F.col("id").alias("trans_id"),
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "128KB")
+    try:
+        write_processed(ops.refine(rows), folder)
+    finally:
+        spark.conf.unset(size)
+    back = read_processed(spark, folder)
+    assert back.agg(F.countDistinct("trans_id"), F.count("*")).first() == (60_000, 60_000)
+    hot = back.filter("day = 1 and hour = 0").select("trans_id", F.input_file_name().alias("f"))
+    assert hot.select("f").distinct().count() > 2
+    assert back.filter("day = 1 and hour = 7").select(F.input_file_name()).distinct().count() <= 2

@@ -12,7 +12,10 @@ BROADCAST_FILES = 50_000
 
 
 def index_rows(
-    df: DataFrame, order: list[Column] | None = None, name: str = "row_index"
+    df: DataFrame,
+    order: list[Column] | None = None,
+    name: str = "row_index",
+    path: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Add each row's position, from 0, and return the number of rows too.
 
@@ -20,9 +23,10 @@ def index_rows(
     is given. A row is then known by its file and place in it, which stays true
     when tasks are repeated, and its position is the rows in earlier files plus
     that place. Only the file list, one row per written file, is gathered.
+    The result reads that table, in ``path`` if given, for the caller to delete.
     """
     spark = df.sparkSession
-    path = run_dir(spark, "indexed")
+    path = path or run_dir(spark, "indexed")
     # The running id parts rows with equal keys, so a hot key spans many ranges.
     rows = df.orderBy(*order, F.monotonically_increasing_id()) if order else df
     rows.write.parquet(path)
@@ -55,14 +59,18 @@ def index_rows(
 
 
 def sample_exact(
-    df: DataFrame, n: int, seed: int = 0, order: list[Column] | None = None
+    df: DataFrame,
+    n: int,
+    seed: int = 0,
+    order: list[Column] | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Exactly ``n`` rows drawn uniformly with replacement; an empty input gives none.
 
     Draw ``i`` takes the position that a hash of seed and ``i`` names, so a
     repeated task draws the same. Both sides meet in an equi-join on the position.
     """
-    indexed, rows = index_rows(df, order)
+    indexed, rows = index_rows(df, order, path=path)
     if rows == 0:
         return indexed.withColumn("draw", F.lit(None).cast("bigint")).drop("row_index")
     hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.col("draw").cast("string")).cast("binary"))
@@ -71,8 +79,10 @@ def sample_exact(
     return draws.join(indexed, "row_index").select("draw", *df.columns)
 
 
-def chunk(df: DataFrame, k: int, order: list[Column] | None = None) -> DataFrame:
+def chunk(
+    df: DataFrame, k: int, order: list[Column] | None = None, path: str | None = None
+) -> DataFrame:
     """Number the rows into chunks of ``ceil(rows / k)``, the last one shorter."""
-    indexed, rows = index_rows(df, order)
+    indexed, rows = index_rows(df, order, path=path)
     size = max(1, -(-rows // k))
     return indexed.withColumn("chunk", F.expr(f"row_index div {size}L"))

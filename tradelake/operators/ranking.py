@@ -24,14 +24,16 @@ def top_in(df: DataFrame, keys: list[str], order: list[Column], n: int = 1, rank
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 
 
-def rank_in(df: DataFrame, keys: list[str], order: list[Column], rank: str = "rnk") -> DataFrame:
+def rank_in(
+    df: DataFrame, keys: list[str], order: list[Column], rank: str = "rnk", path: str | None = None
+) -> DataFrame:
     """Row number of every row in its group, for groups of any size.
 
     A window would bring a whole group into one task. Here the rows get their
     position in one range-partitioned sort, and the group's first position,
     found by an aggregate, is subtracted.
     """
-    indexed, _ = index_rows(df, [*[F.col(key) for key in keys], *order], name="_at")
+    indexed, _ = index_rows(df, [*[F.col(key) for key in keys], *order], "_at", path)
     starts = indexed.groupBy(*[F.col(key).alias(f"_{key}") for key in keys]).agg(
         F.min("_at").alias("_start")
     )

@@ -135,7 +135,7 @@ def delivery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.select("sent", "errors", sample.alias("sample"))
 
 
-SAMPLE_ROWS, SAMPLE_SEED = 5000, 7
+SAMPLE_SEED = 7
 
 
 @query(f"""
@@ -145,12 +145,13 @@ draws AS (
   SELECT range AS draw,
          CAST('0x' || substr(md5('{SAMPLE_SEED}:' || range), 1, 15) AS BIGINT)
            % (SELECT count(*) FROM trades) AS row_index
-  FROM range({SAMPLE_ROWS}))
+  FROM range((SELECT count(*) FROM trades)))
 SELECT draw, trans_id, symbol, price FROM draws JOIN numbered USING (row_index)
 """)
 def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many draws as there are trades."""
     rows = trades(spark, sf_dir).select("trans_id", "symbol", "price")
-    return indexing.sample_exact(rows, SAMPLE_ROWS, SAMPLE_SEED, [F.col("trans_id")])
+    return indexing.sample_exact(rows, rows.count(), SAMPLE_SEED, [F.col("trans_id")])
 
 
 WORKERS = 25

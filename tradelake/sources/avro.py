@@ -292,14 +292,16 @@ def read_avro(
         for f in parts.fields:
             data = data.withColumn(f.name, F.col(f.name).cast(f.dataType))
         return _picked(data, where)
-    shape = _record_shape(_merged_schema(spark, path))
+    picked = _pruned(path, parts, where)
+    shape = _record_shape(_merged_schema(spark, picked))
     files = spark.sparkContext.hadoopRDD(
         "org.apache.avro.mapred.AvroAsTextInputFormat",
         "org.apache.hadoop.io.Text",
         "org.apache.hadoop.io.Text",
         conf={
-            "mapreduce.input.fileinputformat.inputdir": _pruned(path, parts, where).replace(",", "\\,"),
+            "mapreduce.input.fileinputformat.inputdir": picked.replace(",", "\\,"),
             "mapreduce.input.fileinputformat.input.dir.recursive": "true",
+            "mapreduce.input.fileinputformat.list-status.num-threads": "16",
         },
     )
     texts = spark.createDataFrame(files, "datum string, nothing string", verifySchema=False)

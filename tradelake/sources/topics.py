@@ -21,16 +21,15 @@ def read_topics(spark: SparkSession, path: str, pattern: str, max_files: int | N
     return matching(reader.parquet(path), pattern)
 
 
-def read_kafka(spark: SparkSession, servers: str, pattern: str, start: str = "earliest") -> DataFrame:
-    """The same from a deployed Kafka connector."""
-    return (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribePattern", pattern)
-        .option("startingOffsets", start)
-        .load()
-        .select(*TOPIC_RECORD.names)
-    )
+def read_kafka(
+    spark: SparkSession, servers: str, pattern: str, start: str = "earliest", max_records: int | None = None
+) -> DataFrame:
+    """The same from a deployed Kafka connector, at most ``max_records`` in a batch."""
+    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    reader = reader.option("subscribePattern", pattern).option("startingOffsets", start)
+    if max_records:
+        reader = reader.option("maxOffsetsPerTrigger", max_records)
+    return reader.load().select(*TOPIC_RECORD.names)
 
 
 def hoist(df: DataFrame, field: str = "msg_payload") -> DataFrame:

@@ -47,7 +47,9 @@ def write_processed(refined: DataFrame, path: str) -> None:
     """Append to the processed zone, one folder per symbol and event hour.
 
     The hint gathers a partition's rows, and adaptive execution splits a
-    partition that is too large for one task and merges the small ones.
+    partition that is too large for one task and merges the small ones. A zone
+    that a stream fills must not be written this way: its readers go by the
+    stream's commit log.
     """
     gathered = refined.hint("rebalance", *PROCESSED_PARTITIONS)
     gathered.write.mode("append").partitionBy(*PROCESSED_PARTITIONS).option(

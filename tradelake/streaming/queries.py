@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tradelake.operators.trades import format_events
+from tradelake.operators.validation import decode_envelope
+
 # Read all there is now, in batches as the source's limits cut them, then stop.
 NOW = {"availableNow": True}
 
@@ -28,3 +32,15 @@ def finish(*queries: StreamingQuery) -> None:
 def batch_counts(query: StreamingQuery) -> list[tuple[int, int]]:
     """Number and rows of each recent batch that read something."""
     return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress if p["numInputRows"]]
+
+
+def display(stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Print each record of a log stream: a short line and the whole event."""
+    shown = format_events(decode_envelope(stream)).select("line", "full_event")
+    return (
+        shown.writeStream.format("console")
+        .option("truncate", False)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or NOW))
+        .start()
+    )
