@@ -5,9 +5,11 @@ from __future__ import annotations
 import pytest
 from conftest import SF, plan_of
 from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
 
 from tradelake.plans.inputs import trades
 from tradelake.sources import catalog
+from tradelake.sources.avro import avro_schema, has_avro_module, write_avro
 from tradelake.sources.files import child_folders, list_files, reset_table
 
 
@@ -79,6 +81,21 @@ def test_crawl_of_a_whole_root(spark, folder, database):
     assert names == [f"`{database}`.`stock_data`"]
     assert spark.table(names[0]).count() == 1000
     assert child_folders(spark, folder) == ["month=0", "month=1", "month=2", "month=3"]
+    spark.range(3).selectExpr("id AS trans_id", "1D AS price", "'x' AS note").write.mode("append").parquet(
+        f"{folder}/month=0/day=0"
+    )
+    assert "note" not in spark.table(names[0]).columns
+    catalog.crawl(spark, folder, database, "stock_", table="data", refresh=True)
+    assert spark.table(names[0]).count() == 1003
+
+
+def test_avro_tables_are_views_without_the_module(spark, folder, database):
+    schema = avro_schema(T.StructType([T.StructField("id", T.LongType(), False)]), "Rows")
+    rows = spark.range(20).selectExpr("id", "int(id % 2) AS day")
+    write_avro(rows, f"{folder}/rows", schema, ["day"])
+    catalog.create_table(spark, f"{database}.av", "id bigint", "day int", f"{folder}/rows", "avro")
+    found = spark.table("av") if not has_avro_module(spark) else spark.table(f"{database}.av")
+    assert found.filter("day = 1").count() == 10 or has_avro_module(spark)
 
 
 def test_reset_removes_table_and_files(spark, folder, database):

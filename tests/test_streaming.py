@@ -6,7 +6,7 @@ import glob
 from datetime import datetime, timezone
 
 import pytest
-from conftest import SF
+from conftest import SF, plan_of
 from pyspark.sql import functions as F
 
 from tradelake.operators.trades import refine
@@ -59,6 +59,9 @@ def test_pages_of_a_shard_join_up(spark, folder):
     while page := [r.seq for r in logs.read_page(log, 1, last, 7).collect()]:
         read, last = read + page, page[-1]
     assert read == whole and len(whole) > 14
+    plan = plan_of(logs.read_page(log, 1, 50, 7))
+    assert "TakeOrderedAndProject" in plan and "GreaterThan(seq,50)" in plan
+    assert "PartitionFilters: [isnotnull(shard" in plan
 
 
 def test_pipeline_from_log_to_processed(spark, folder):
@@ -147,6 +150,16 @@ def test_archive_limits_rows_per_file(spark, folder):
     assert not glob.glob(f"{base}/json/topic=raw.error")
 
 
+def test_archive_by_hour_with_a_number_of_tasks(spark, folder):
+    topic_records(spark, SF).filter("offset < 60").write.parquet(f"{folder}/topics")
+    stream = topics.read_topics(spark, f"{folder}/topics", ".*").transform(topics.archive_transform)
+    finish(archive_topics(stream, f"{folder}/all", f"{folder}/ck", hourly=True, tasks=3))
+    base = folder.removeprefix("file:")
+    files = glob.glob(f"{base}/all/topic=*/year=2024/month=1/day=*/hour=*/part-*.txt")
+    assert {f.rsplit("/part-", 1)[1][:5] for f in files} <= {"00000", "00001", "00002"}
+    assert spark.read.text(f"{folder}/all").count() == 60
+
+
 def test_topic_patterns_match_whole_names(spark):
     names = ["json", "json.a", "xjson.a", "json.a\n"]
     frame = spark.createDataFrame([(n,) for n in names], "topic string")

@@ -224,12 +224,12 @@ def inject_fault_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT range AS seq, '{"col1": "this is json data"}' AS value
+SELECT range AS seq, '{"note": "load run"}' AS value
 FROM range((SELECT count(*) FROM events))
 """)
 def repeat_one_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "events").count()
-    return repeat_record(spark, '{"col1": "this is json data"}', n).select("seq", "value")
+    return repeat_record(spark, '{"note": "load run"}', n).select("seq", "value")
 
 
 @query(f"""

@@ -244,15 +244,15 @@ def catalog_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "crawl")
     raw, database = _raw_batch(spark, sf_dir, path, "year", "month", "day"), _database(path)
     catalog.create_zones(spark, {"raw": database})
-    catalog.crawl(spark, raw, database, "crawler_")
+    catalog.crawl(spark, raw, database, "found_")
     return spark.sql(f"""
-        WITH hourly_trades AS (
+        WITH by_hour AS (
           SELECT date_format(timestamp_seconds(transaction_ts), "yyyy-MM-dd'T'HH") AS HourlyBucket, *
-          FROM {database}.crawler_year_2024),
+          FROM {database}.found_year_2024),
         ranked AS (
           SELECT *, row_number() OVER (PARTITION BY symbol, type, HourlyBucket
                                        ORDER BY dollar_amount DESC, trans_id) AS rnk
-          FROM hourly_trades)
+          FROM by_hour)
         SELECT * FROM ranked WHERE rnk = 1 ORDER BY HourlyBucket, symbol, type
     """)
 
@@ -300,15 +300,12 @@ SELECT topic, to_base64(encode(value)) AS msg_payload, "partition" AS msg_partit
 FROM topics
 """)
 def archive_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All topics, payload hoisted and metadata inserted, three writing tasks."""
+    """All topics, payload hoisted and metadata inserted."""
     path = run_dir(spark, "archive")
     stream = topics.read_topics(spark, _topics(spark, sf_dir, path), ".*").transform(
         topics.archive_transform
     )
-    running = archive_topics(
-        stream, f"{path}/all", f"{path}/ck", hourly=True, max_records=100_000, tasks=3
-    )
-    finish(running)
+    finish(archive_topics(stream, f"{path}/all", f"{path}/ck", hourly=True, max_records=100_000))
     schema = "value string, topic string, year string, month string, day string, hour string"
     fields = "msg_payload string, msg_partition int, msg_offset bigint, msg_ts bigint"
     stored = spark.read.schema(schema).text(f"{path}/all")

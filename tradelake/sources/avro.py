@@ -15,10 +15,9 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from decimal import Decimal, localcontext
-from typing import Any
+from typing import TYPE_CHECKING, Any
 from urllib.parse import quote
 
-import pandas as pd
 from pyarrow import fs as arrow_fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +29,9 @@ from tradelake.functions.text import decimal_from_bytes
 from tradelake.session import ship_package
 from tradelake.sources.files import list_files
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 # Fixed values of the container format.
 MAGIC = b"Obj\x01"
 SYNC_SIZE = 16
@@ -46,10 +48,11 @@ SIMPLE = {
 
 
 def has_avro_module(spark: SparkSession) -> bool:
+    """Whether Spark's own Avro source is deployed; any complaint but its absence means yes."""
     try:
         spark.read.format("avro").schema("a int").load([])
     except AnalysisException as error:
-        return "AVRO" not in str(error).upper()
+        return "Failed to find data source" not in str(error)
     return True
 
 
@@ -243,6 +246,8 @@ def _version(schema: dict) -> str | None:
 
 
 def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pandas as pd  # not at the top: tasks that write do without it
+
     for batch in batches:
         rows = []
         for path in batch["path"]:

@@ -109,6 +109,7 @@ def crawl(
     prefix: str = "",
     table: str | None = None,
     sampling: float = 1.0,
+    refresh: bool = False,
 ) -> list[str]:
     """Register what lies below ``root`` and return the table names.
 
@@ -117,7 +118,7 @@ def crawl(
     ``table`` the whole root becomes that one table. Path columns are texts,
     which keeps leading zeros. A known table only gets its new partitions, so
     the job can be repeated often; ``sampling`` is the share of text rows that
-    schema inference reads on the first run.
+    schema inference reads on the first run. ``refresh`` infers the columns anew.
     """
     roots = {table: root} if table else {name: f"{root.rstrip('/')}/{name}" for name in child_folders(spark, root)}
     found = []
@@ -127,7 +128,7 @@ def crawl(
             continue
         name = f"`{database}`.`{prefix}{re.sub('[^a-z0-9_]', '_', folder.lower())}`"
         parts = _path_columns(spark, path, file)
-        if not spark.catalog.tableExists(name):
+        if refresh or not spark.catalog.tableExists(name):
             _register(spark, name, path, classify(spark, file), parts, sampling)
         if parts:
             repair(spark, name)

@@ -10,11 +10,11 @@ from tradelake.sources.avro import avro_schema, read_avro, write_avro
 
 EVENT = "CustomerSnapshot"
 NAMESPACE = "org.example.lake.v1"
-VERSION = "1.0.2"
+VERSION = "1.0.0"
 PARTITION_DDL = "namespace string, year int, month int, day int, version string"
 
 CUSTOMER_AVRO = avro_schema(
-    CUSTOMER, EVENT, NAMESPACE, {"lake-meta": {"version": VERSION, "type": "ENTITY_SNAPSHOT"}}
+    CUSTOMER, EVENT, NAMESPACE, {"lake-meta": {"version": VERSION, "kind": "snapshot"}}
 )
 
 # The parameters every record carries.
