@@ -80,3 +80,13 @@ def test_top_rows_are_cut_before_the_shuffle(spark):
 def test_order_puts_nulls_last(spark):
     frame = spark.createDataFrame([(None, 1), ("b", 2), ("a", 3)], "k string, v int")
     assert [r.v for r in ranking.order_by(frame, "k").collect()] == [3, 2, 1]
+
+
+def test_many_top_rows_are_ranked_without_a_window(spark):
+    order = [F.col("value").desc(), F.col("id")]
+    few = ranking.top_in(skewed(spark), ["key"], order, n=1000)
+    many = ranking.top_in(skewed(spark), ["key"], order, n=1500)
+    assert "WindowGroupLimit" in plan_of(few) and "Window" not in plan_of(many)
+    assert few.dtypes == many.dtypes
+    assert many.filter("rnk <= 1000").exceptAll(few).isEmpty()
+    assert many.filter("key = 'hot'").count() == 1500

@@ -18,8 +18,13 @@ def top_in(df: DataFrame, keys: list[str], order: list[Column], n: int = 1, rank
     """The first ``n`` rows per group.
 
     The filter on the rank lets Spark cut every group to ``n`` rows per task
-    before the shuffle, so a group of any size sends little.
+    before the shuffle, so a group of any size sends little. Spark does so up to
+    a threshold; beyond it the rows are ranked without a window.
     """
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > threshold:
+        ranked = rank_in(df, keys, order, rank)
+        return ranked.filter(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("int"))
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
 

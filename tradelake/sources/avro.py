@@ -13,6 +13,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from decimal import Decimal, localcontext
 from typing import TYPE_CHECKING, Any
@@ -37,6 +38,8 @@ MAGIC = b"Obj\x01"
 SYNC_SIZE = 16
 BLOCK_BYTES = 64 * 1024
 
+MOVES_AT_A_TIME = 16
+
 SIMPLE = {
     "string": T.StringType(),
     "boolean": T.BooleanType(),
@@ -492,11 +495,17 @@ class AvroWriter(DataSourceWriter):
                 if old.path != hidden:
                     delete = system.delete_dir if old.type == arrow_fs.FileType.Directory else system.delete_file
                     delete(old.path)
-        for message in messages:
-            for temporary, final in message.moves if message else []:
-                target = filesystem(final)[1]
-                system.create_dir(target.rsplit("/", 1)[0], recursive=True)
-                system.move(filesystem(temporary)[1], target)
+        moves = [pair for message in messages if message for pair in message.moves]
+
+        def place(pair: tuple[str, str]) -> None:
+            source, target = (filesystem(path)[1] for path in pair)
+            system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            system.move(source, target)
+
+        # On object stores a move is a copy, so several run at a time.
+        with ThreadPoolExecutor(MOVES_AT_A_TIME) as pool:
+            for _ in pool.map(place, moves):
+                pass
         self._clear()
 
     def abort(self, messages: list) -> None:
