@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import json
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.operators.nested import avg_by, compare_scan, unnest, with_extras
 from tradelake.schemas import CUSTOMER
+from tradelake.session import run_dir
 from tradelake.sources import customers as store
 from tradelake.sources.avro import avro_metadata, avro_schema, parse_header, read_avro, write_avro
+from tradelake.sources.files import with_source_path
 
 WIDE = T.StructType(
     [
@@ -86,6 +90,45 @@ def test_path_columns_and_pruning(spark, folder):
     picked = read_avro(spark, folder, ddl, {"day": 1})
     assert picked.count() == 50
     assert picked.rdd.getNumPartitions() <= 2 * 3
+    paths = with_source_path(picked).select("path", "day").distinct().collect()
+    assert len(paths) == 3 and all("/day=1/" in r.path for r in paths)
+
+
+LINES = st.lists(
+    st.tuples(
+        st.text(st.characters(codec="utf-8", exclude_characters="\x00"), max_size=20),
+        st.one_of(st.none(), st.binary(max_size=12)),
+        st.one_of(st.none(), st.integers(-(10**20) + 1, 10**20 - 1)),
+        st.floats(allow_nan=False),
+    ),
+    min_size=1,
+    max_size=20,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(LINES)
+def test_any_value_survives(spark, lines):
+    kinds = T.StructType(
+        [
+            T.StructField("i", T.LongType(), False),
+            T.StructField("word", T.StringType(), False),
+            T.StructField("data", T.BinaryType()),
+            T.StructField("money", T.DecimalType(20, 4)),
+            T.StructField("real", T.DoubleType(), False),
+        ]
+    )
+    with localcontext() as context:
+        context.prec = 40
+        rows = [
+            (i, word, data and bytearray(data), None if units is None else Decimal(units).scaleb(-4), real)
+            for i, (word, data, units, real) in enumerate(lines)
+        ]
+    where = run_dir(spark, "any")
+    frame = spark.createDataFrame(rows, kinds)
+    write_avro(frame, where, avro_schema(kinds, "Any"))
+    got = sorted(read_avro(spark, where).collect(), key=lambda r: r.i)
+    assert got == sorted(frame.collect(), key=lambda r: r.i)
 
 
 def test_overwrite_append_and_leftovers(spark, folder):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from conftest import SF, plan_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tradelake.functions import text, times
@@ -181,3 +184,17 @@ def test_a_hot_partition_is_split_and_stays_whole(spark, folder):
     hot = back.filter("day = 1 and hour = 0").select("trans_id", F.input_file_name().alias("f"))
     assert hot.select("f").distinct().count() > 2
     assert back.filter("day = 1 and hour = 7").select(F.input_file_name()).distinct().count() <= 2
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.integers(times.FIRST_SECOND, times.LAST_SECOND), min_size=1, max_size=30))
+def test_partition_values_match_the_time(spark, seconds):
+    frame = spark.createDataFrame([(s,) for s in seconds], "transaction_ts bigint").selectExpr(
+        "*", "'A' symbol", "1D price", "1D amount", "1D dollar_amount", "'buy' type", "transaction_ts trans_id"
+    )
+    start = datetime(1970, 1, 1)
+    for row in ops.refine(frame).collect():
+        when = start + timedelta(seconds=row.trans_id)
+        assert (row.year, row.month, row.day, row.hour) == (when.year, when.month, when.day, when.hour)
+        assert row.transaction_date == f"{when.isoformat()}Z"
+    assert ops.refine(frame).count() == len(seconds)

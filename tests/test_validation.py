@@ -47,6 +47,7 @@ NOT_OBJECT = MISSING + "transaction_ts"
 CASES = {
     "good": (changed(), None),
     "blanks inside": (json.dumps(GOOD, indent=2), None),
+    "blanks around": (" \t\u00a0" + changed() + "\u2003\r\n", None),
     "empty": ("", JSON),
     "plain text": ("this is not json at all", JSON),
     "cut off": (changed()[:-1], JSON),
@@ -127,6 +128,8 @@ def test_typed_values_follow_the_same_rules(spark):
     row = parse_raw(spark.createDataFrame([(x,) for x in lines], "value string")).first()
     assert (row.trans_id, row.transaction_ts, row.price, row.dollar_amount) == (12, 1, 1.0, 1000.0)
     assert row.symbol == "5"
+    spaced = spark.createDataFrame([("\u00a0" + changed() + "\u2003",)], "value string")
+    assert parse_raw(spaced).first().trans_id == 7
 
 
 def coded(data: bytes) -> str:

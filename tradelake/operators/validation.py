@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradelake.functions import records
-from tradelake.functions.text import decode_payload
+from tradelake.functions.text import decode_payload, strip
 
 OK = "Ok"
 FAILED = "ProcessingFailed"
@@ -19,11 +19,11 @@ def decode_envelope(df: DataFrame, data: str = "data", value: str = "value") ->
 
 def validate(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``reason``: null for a good record, else the first rule it breaks."""
-    fields = F.col("_fields")
-    parsed = df.withColumn("_fields", records.trade_fields(F.col(value)))
+    clean, fields = F.col("_text"), F.col("_fields")
+    parsed = df.withColumn("_text", strip(F.col(value))).withColumn("_fields", records.trade_fields(clean))
     # A one-element explode, because a filter on a plain column would be pushed
     # down with the expression put in its place, parsing the text for every rule.
-    reason = F.explode(F.array(records.failure(F.col(value), fields)))
+    reason = F.explode(F.array(records.failure(clean, fields)))
     return parsed.select(*df.columns, reason.alias("reason"))
 
 

@@ -170,6 +170,23 @@ def unnest_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""
+WITH {CUSTOMERS_SQL}
+SELECT customerId, grouping_id AS groupingid, unnest(names) AS name,
+       'namespace={store.NAMESPACE}/year=2020/month=2/day=4/version={store.VERSION}' AS folder
+FROM customers WHERE customerId = 'C73' AND day = 4
+""")
+def unnest_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One customer of one day of the Avro set: nested field, file and one row per array element."""
+    rows = store.read_customers(spark, _avro(spark, sf_dir, "find"), {"day": 4})
+    found = with_source_path(rows).filter("customerid = 'C73'")
+    wide = nested.unnest(
+        nested.with_extras(found, "paymentdetails.groupingid AS groupingid"), "array_of_strings", "name"
+    )
+    folder = F.regexp_extract("path", "(namespace=.*)/[^/]*$", 1).alias("folder")
+    return wide.select("customerId", "groupingid", "name", folder)
+
+
 @query(f"""
 WITH {CUSTOMERS_SQL}
 SELECT DISTINCT 'namespace={store.NAMESPACE}/year=2020/month=2/day=' || day || '/version={store.VERSION}'

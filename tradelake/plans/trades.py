@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions import text, times
-from tradelake.operators import indexing, ranking
+from tradelake.operators import indexing, ranking, validation
 from tradelake.operators import trades as ops
 from tradelake.operators.messages import inject_faults, repeat_record
-from tradelake.operators.validation import decode_envelope, route, validate
 from tradelake.plans.inputs import (
     REASON_SQL,
     SOUND_SQL,
@@ -171,7 +170,7 @@ def chunk_even(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT event_id, CASE WHEN event_id % 11 > 1 THEN props END AS value FROM events
 """)
-def decode_envelope_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_id") % 11
     good = text.encode_payload(F.concat(F.lit(" \t"), F.col("props")))
     data = (
@@ -180,16 +179,16 @@ def decode_envelope_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(good)
     )
     coded = table(spark, sf_dir, "events").select("event_id", data.alias("data"))
-    return decode_envelope(coded).select("event_id", "value")
+    return validation.decode_envelope(coded).select("event_id", "value")
 
 
 @query(f"WITH {TRADES_SQL} SELECT trans_id AS seq, {REASON_SQL} AS reason FROM trades")
 def validate_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate(messages(spark, sf_dir)).select("seq", "reason")
+    return validation.validate(messages(spark, sf_dir)).select("seq", "reason")
 
 
 def _routed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return route(to_log(messages(spark, sf_dir), 4))
+    return validation.route(to_log(messages(spark, sf_dir), 4))
 
 
 @query(f"WITH {SOUND_SQL} SELECT trans_id AS seq, 'Ok' AS result, symbol AS partition_key FROM sound")
@@ -218,7 +217,7 @@ SELECT reason, count(*) AS records FROM mixed GROUP BY reason
 def inject_fault_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = trades(spark, sf_dir).agg(F.max("trans_id")).first()[0]
     arrival = datetime(2024, 2, 1, tzinfo=timezone.utc)
-    mixed = validate(inject_faults(messages(spark, sf_dir), last + 1, arrival))
+    mixed = validation.validate(inject_faults(messages(spark, sf_dir), last + 1, arrival))
     reason = F.coalesce("reason", F.lit("good")).alias("reason")
     return mixed.groupBy(reason).agg(F.count("*").alias("records"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions import records
+from tradelake.functions.text import strip
 from tradelake.schemas import PROCESSED, PROCESSED_PARTITIONS, TRADE_TEXT
 
 
@@ -31,7 +32,7 @@ def parse_raw(df: DataFrame, value: str = "value") -> DataFrame:
     or ``1.7`` in an integer field.
     """
     kept = [name for name in df.columns if name != value and name not in TRADE_TEXT.names]
-    parsed = df.withColumn("_fields", records.trade_fields(F.col(value)))
+    parsed = df.withColumn("_fields", records.trade_fields(strip(F.col(value))))
     # As a generator, so that filters above do not repeat the parse.
     trade = F.inline(F.array(F.struct(*records.typed_trade(F.col("_fields")))))
     return parsed.select(trade, *kept)

@@ -14,6 +14,11 @@ from tradelake.streaming.queries import start
 # Fixed value: the error class in the path of records the check refused.
 ERROR_TYPE = "processing-failed"
 
+# Bytes and seconds a delivery buffers, for ``max_bytes`` of the
+# stream and for ``trigger``.
+BUFFER_BYTES = 1024 * 1024
+BUFFER_INTERVAL = {"processingTime": "60 seconds"}
+
 RAW_PARTITIONS = ["year", "month", "day", "hour"]
 ERROR_PARTITIONS = ["type", "year", "month", "day"]
 
