@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from conftest import SF, plan_of
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.plans.inputs import trades
@@ -107,3 +108,21 @@ def test_reset_removes_table_and_files(spark, folder, database):
     assert not spark.catalog.tableExists(name)
     with pytest.raises(AnalysisException):
         list_files(spark, folder)
+
+
+def test_crawl_of_plain_files_and_of_clashing_names(spark, folder, database):
+    spark.range(4).write.parquet(f"{folder}/plain")
+    names = catalog.crawl(spark, f"{folder}/plain", database)
+    assert names == [f"`{database}`.`plain`"] and spark.table(names[0]).count() == 4
+    for name in ("a-b", "a_b"):
+        spark.range(1).write.parquet(f"{folder}/two/{name}")
+    with pytest.raises(ValueError, match="a_b"):
+        catalog.crawl(spark, f"{folder}/two", database)
+
+
+def test_quotes_in_values_and_paths(spark, folder, database):
+    path = f"{folder}/it's"
+    spark.range(2).withColumn("who", F.lit("o'b")).write.partitionBy("who").parquet(path)
+    catalog.create_table(spark, f"{database}.q", "id bigint", "who string", path)
+    catalog.add_partition(spark, f"{database}.q", {"who": "o'b"}, f"{path}/who=o%27b")
+    assert spark.table(f"{database}.q").filter(F.col("who") == "o'b").count() == 2

@@ -26,9 +26,11 @@ def test_positions_are_dense_and_follow_the_order(spark):
     assert rows.join(want, "id").filter("row_index <> want").isEmpty()
 
 
-def test_a_hot_order_key_spans_tasks(spark):
-    rows, n = indexing.index_rows(skewed(spark).withColumn("one", F.lit(1)), [F.col("one")])
+def test_a_hot_order_key_spans_tasks(spark, folder):
+    frame = skewed(spark).withColumn("one", F.lit(1))
+    rows, n = indexing.index_rows(frame, [F.col("one")], path=folder)
     assert n == 6000
+    assert len(spark.read.parquet(folder).inputFiles()) > 3
     assert rows.select("row_index").distinct().count() == 6000
     assert rows.agg(F.min("row_index"), F.max("row_index")).first() == (0, 5999)
 

@@ -43,15 +43,21 @@ def create_table(
         return
     listed = f"{data}, {parts}" if parts else data
     by = ", ".join(f"`{f.name}`" for f in T.StructType.fromDDL(parts).fields) if parts else ""
-    given = ", ".join(f"'{key}' '{value}'" for key, value in (options or {}).items())
+    given = ", ".join(f"{_literal(key)} {_literal(value)}" for key, value in (options or {}).items())
     spark.sql(
         f"CREATE TABLE {name} ({listed}) USING {fmt}"
         + (f" OPTIONS ({given})" if given else "")
         + (f" PARTITIONED BY ({by})" if by else "")
-        + f" LOCATION '{path}'"
+        + f" LOCATION {_literal(path)}"
     )
 
 
+def _literal(value: str | int) -> str:
+    """A SQL text literal."""
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def _ddl(schema: T.StructType | str) -> str:
     if isinstance(schema, str):
         return schema
@@ -60,8 +66,8 @@ def _ddl(schema: T.StructType | str) -> str:
 
 def add_partition(spark: SparkSession, table: str, values: dict[str, str | int], path: str) -> None:
     """Register one partition at its own location."""
-    spec = ", ".join(f"`{name}`='{value}'" for name, value in values.items())
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{path}'")
+    spec = ", ".join(f"`{name}`={_literal(value)}" for name, value in values.items())
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {_literal(path)}")
 
 
 def repair(spark: SparkSession, table: str) -> None:
@@ -115,18 +121,24 @@ def crawl(
 
     Each folder directly below becomes a table named prefix plus folder, so a
     first-level ``year=2024`` goes into the name and not into the columns. With
-    ``table`` the whole root becomes that one table. Path columns are texts,
+    ``table``, or without any folder, the whole root becomes one table. Path columns are texts,
     which keeps leading zeros. A known table only gets its new partitions, so
     the job can be repeated often; ``sampling`` is the share of text rows that
     schema inference reads on the first run. ``refresh`` infers the columns anew.
     """
-    roots = {table: root} if table else {name: f"{root.rstrip('/')}/{name}" for name in child_folders(spark, root)}
-    found = []
+    base = root.rstrip("/")
+    if table:
+        roots = {table: base}
+    else:
+        roots = {name: f"{base}/{name}" for name in child_folders(spark, root)} or {base.rsplit("/", 1)[-1]: base}
+    found: list[str] = []
     for folder, path in roots.items():
         file = _first_file(spark, path)
         if file is None:
             continue
         name = f"`{database}`.`{prefix}{re.sub('[^a-z0-9_]', '_', folder.lower())}`"
+        if name in found:
+            raise ValueError(f"two folders below {root} would both become {name}")
         parts = _path_columns(spark, path, file)
         if refresh or not spark.catalog.tableExists(name):
             _register(spark, name, path, classify(spark, file), parts, sampling)
