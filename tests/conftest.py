@@ -15,7 +15,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+        "tests", "local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8",
+           "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -198,3 +198,19 @@ def test_partition_values_match_the_time(spark, seconds):
         assert (row.year, row.month, row.day, row.hour) == (when.year, when.month, when.day, when.hour)
         assert row.transaction_date == f"{when.isoformat()}Z"
     assert ops.refine(frame).count() == len(seconds)
+
+
+def test_csv_quotes_and_header_order(spark, folder):
+    import os
+
+    base = folder.removeprefix("file:")
+    os.makedirs(base)
+    head = "transaction_ts,symbol,price,amount,dollar_amount,type,trans_id"
+    with open(f"{base}/a.csv", "w") as out:
+        out.write(head + '\n1,"A ""B"", C",2.0,3.0,6.0,"x\\",4\n')
+    row = read_trades_csv(spark, folder).first()
+    assert (row.symbol, row.type, row.trans_id) == ('A "B", C', "x\\", "4")
+    with open(f"{base}/b.csv", "w") as out:
+        out.write(head.replace("price,amount", "amount,price") + "\n1,A,10.0,2.0,20.0,buy,5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_trades_csv(spark, folder).collect()

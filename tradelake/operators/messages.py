@@ -2,52 +2,50 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradelake.functions.records import NUMBERS
 from tradelake.functions.text import preview
+from tradelake.schemas import TRADE
 
-# Each message breaks one rule of the check: a field missing, a price that is no
-# number, a price below zero, another field missing, and no JSON at all.
-FAULTS = [
-    (
-        None,
-        '{"transaction_ts": 1704067200, "price": 10.5, "amount": 2.0,'
-        ' "dollar_amount": 21.0, "type": "buy", "trans_id": 1}',
-    ),
-    (
-        "SYM_0",
-        '{"transaction_ts": 1704067201, "symbol": "SYM_0", "price": "ten", "amount": 2.0,'
-        ' "dollar_amount": 20.0, "type": "buy", "trans_id": 2}',
-    ),
-    (
-        "SYM_1",
-        '{"transaction_ts": 1704067202, "symbol": "SYM_1", "price": -3.5, "amount": 2.0,'
-        ' "dollar_amount": -7.0, "type": "sell", "trans_id": 3}',
-    ),
-    (
-        "SYM_0",
-        '{"transaction_ts": 1704067203, "symbol": "SYM_0", "price": 4.0, "amount": 1.0,'
-        ' "dollar_amount": 4.0, "type": "sell"}',
-    ),
-    (None, "this message holds no json"),
-]
+#: Number fields that have to be above zero.
+POSITIVE = ("price", "amount")
+
+#: A sound trade, from which each fault departs in one point.
+SOUND = {
+    "transaction_ts": 1_700_000_000, "symbol": "SYM_0", "price": 8.0, "amount": 4.0,
+    "dollar_amount": 32.0, "type": "buy", "trans_id": 1,
+}
+
+
+def faults() -> list[tuple[str | None, str]]:
+    """Key and text of one message for each way to break a rule of the check.
+
+    Every required field is left out once, every number field holds text once, every
+    field that has to be positive is negated once, and one message is no JSON.
+    """
+    spoiled = [{k: v for k, v in SOUND.items() if k != name} for name in TRADE.names]
+    spoiled += [{**SOUND, name: SOUND["symbol"]} for name in NUMBERS]
+    spoiled += [{**SOUND, name: -SOUND[name]} for name in POSITIVE]
+    return [(message.get("symbol"), json.dumps(message)) for message in spoiled] + [(None, SOUND["symbol"])]
 
 
 def fault_messages(spark: SparkSession, first_seq: int, arrival: datetime) -> DataFrame:
-    """The five faulty messages, numbered from ``first_seq``."""
-    rows = [(first_seq + i, key, arrival, value) for i, (key, value) in enumerate(FAULTS)]
+    """The faulty messages, numbered from ``first_seq``."""
+    rows = [(first_seq + i, key, arrival, value) for i, (key, value) in enumerate(faults())]
     return spark.createDataFrame(
         rows, "seq bigint, partition_key string, arrival_ts timestamp, value string"
     )
 
 
 def inject_faults(messages: DataFrame, first_seq: int, arrival: datetime) -> DataFrame:
-    """Messages with the five faulty ones mixed in."""
-    faults = fault_messages(messages.sparkSession, first_seq, arrival)
-    return messages.unionByName(faults.select(*messages.columns))
+    """Messages with the faulty ones mixed in."""
+    added = fault_messages(messages.sparkSession, first_seq, arrival)
+    return messages.unionByName(added.select(*messages.columns))
 
 
 def sent_previews(messages: DataFrame) -> DataFrame:

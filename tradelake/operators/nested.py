@@ -36,7 +36,9 @@ def compare_scan(
     spark: SparkSession, avro_root: str, parquet_root: str, column: str, where: dict[str, object]
 ) -> DataFrame:
     """The same average on both formats: result, rows, bytes of the folders read, seconds."""
-    condition = " AND ".join(f"{name} = '{value}'" for name, value in where.items())
+    condition = F.lit(True)
+    for name, value in where.items():
+        condition = condition & (F.col(name) == F.lit(value))
     folders = "/".join(f"{name}={where.get(name, '*')}" for name in CUSTOMER_PARTITIONS)
     parquet = f"{parquet_root}/{parquet_event()}"
     cases = {

@@ -78,9 +78,14 @@ def refine(df: DataFrame) -> DataFrame:
     return _with_partitions(df).filter(_has_partition()).select(*PROCESSED_COLUMNS, *PROCESSED_PARTITIONS)
 
 
+def unrefinable(df: DataFrame) -> DataFrame:
+    """The rows :func:`refine` leaves out, with their own columns."""
+    return _with_partitions(df).filter(~_has_partition()).select(*df.columns)
+
+
 def unrefined(df: DataFrame) -> DataFrame:
     """Number of rows :func:`refine` leaves out."""
-    return _with_partitions(df).filter(~_has_partition()).agg(F.count("*").alias("dropped"))
+    return unrefinable(df).agg(F.count("*").alias("dropped"))
 
 
 def _with_partitions(df: DataFrame) -> DataFrame:
@@ -116,16 +121,12 @@ def with_clocks(df: DataFrame, arrival: str = "arrival_ts") -> DataFrame:
 def delivery_summary(df: DataFrame, sample: int = 10) -> DataFrame:
     """One row for a run over text rows: sent, refused, and the first trades sent as JSON."""
     checked = _checked(df)
-    one = F.lit(1).alias("_one")
-    counts = checked.agg(
-        F.count_if("_good").alias("sent"), F.count_if(~F.col("_good")).alias("errors"), one
-    )
+    counts = checked.agg(F.count_if("_good").alias("sent"), F.count_if(~F.col("_good")).alias("errors"))
     entry = F.struct("trans_id", trade_json().alias("event"))
     first = first_rows(_typed(checked), ["trans_id"], sample).agg(
-        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["event"]).alias("events_sample"), one
+        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["event"]).alias("events_sample")
     )
-    # Two one-row results, joined on a constant so that no product is planned.
-    return counts.join(first, "_one").drop("_one")
+    return counts.select("*", first.scalar().alias("events_sample"))
 
 
 def delivered_ids(typed: DataFrame) -> DataFrame:

@@ -59,10 +59,10 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     value = (
         F.when(kind == 0, F.to_json(F.struct(*no_symbol)))
-        .when(kind == 1, F.to_json(F.struct(*without_price("'not_a_number'"))))
+        .when(kind == 1, F.to_json(F.struct(*without_price("symbol"))))
         .when(kind == 2, F.to_json(F.struct(*without_price("-abs(price) - 1"))))
         .when(kind == 3, F.to_json(F.struct(*no_id)))
-        .when(kind == 4, F.concat(F.lit("this is not json, number "), F.col("trans_id").cast("string")))
+        .when(kind == 4, F.col("symbol"))
         .otherwise(trade_json())
     )
     key = F.when(kind.isin(0, 4), F.lit(None)).otherwise(F.col("symbol"))

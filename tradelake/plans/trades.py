@@ -210,8 +210,10 @@ def route_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {TRADES_SQL}, checked AS (SELECT {REASON_SQL} AS reason FROM trades),
 mixed AS (
   SELECT coalesce(reason, 'good') AS reason FROM checked
-  UNION ALL SELECT unnest(['Missing required field: symbol', 'Invalid type: price',
-    'price and amount must be positive', 'Missing required field: trans_id', 'Invalid JSON']))
+  UNION ALL SELECT 'Missing required field: ' || unnest(['transaction_ts', 'symbol', 'price', 'amount',
+    'dollar_amount', 'type', 'trans_id'])
+  UNION ALL SELECT 'Invalid type: ' || unnest(['transaction_ts', 'price', 'amount', 'dollar_amount', 'trans_id'])
+  UNION ALL SELECT unnest(['price and amount must be positive', 'price and amount must be positive', 'Invalid JSON']))
 SELECT reason, count(*) AS records FROM mixed GROUP BY reason
 """)
 def inject_fault_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,8 +26,8 @@ from tradelake.sources.trades import read_processed, read_raw
 from tradelake.streaming.archive import archive_topics
 from tradelake.streaming.delivery import deliver, raw_lines
 from tradelake.streaming.log import LATEST, read_stream
-from tradelake.streaming.queries import batch_counts, finish, start
-from tradelake.streaming.refining import refine_stream
+from tradelake.streaming.queries import BatchCounter, finish, start
+from tradelake.streaming.refining import refine_stream, reject_stream
 
 SHARDS = 4
 
@@ -60,12 +60,17 @@ PAGE = 100
 
 @query(f"""
 WITH {LOG_SQL}
-SELECT seq, shard, partition_key FROM log WHERE shard = 0 ORDER BY seq LIMIT {PAGE} OFFSET {PAGE}
+SELECT seq // 3 AS seq, shard, partition_key FROM log WHERE shard = 0
+ORDER BY seq // 3, partition_key LIMIT {PAGE} OFFSET {PAGE}
 """)
 def read_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = logs.read_log(spark, _log(spark, sf_dir, run_dir(spark, "log")))
+    """The second page of a shard in which up to three records share a sequence number."""
+    path = run_dir(spark, "log")
+    sent = messages(spark, sf_dir).withColumn("seq", F.floor(F.col("seq") / 3))
+    logs.write_stream_log(sent, path, SHARDS)
+    log = logs.read_log(spark, path)
     first = logs.read_page(log, 0, None, PAGE)
-    last = first.agg(F.max("seq")).first()[0]
+    last = first.agg(F.max("position")).first()[0]
     return logs.read_page(log, 0, last, PAGE).select("seq", "shard", "partition_key")
 
 
@@ -85,27 +90,35 @@ def stream_earliest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
 WITH {LOG_SQL}
-SELECT seq, shard, partition_key FROM log WHERE seq > (SELECT max(seq) FROM log) // 2
+SELECT seq // 3 AS seq, shard, partition_key FROM log WHERE seq <= (SELECT max(seq) FROM log) // 2
 """)
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only what was appended after the stream was opened at its end."""
+    """Only what was appended after the stream was opened at its end.
+
+    Sequence numbers repeat, and what comes later has the lower ones.
+    """
     path = run_dir(spark, "latest")
     sent = messages(spark, sf_dir)
     half = sent.agg(F.max("seq")).first()[0] // 2
-    logs.write_stream_log(sent.filter(F.col("seq") <= half), f"{path}/log", SHARDS)
+    early, late = ((part.withColumn("seq", F.floor(F.col("seq") / 3))) for part in (sent.filter(F.col("seq") > half), sent.filter(F.col("seq") <= half)))
+    logs.write_stream_log(early, f"{path}/log", SHARDS)
     stream = read_stream(spark, f"{path}/log", LATEST, checkpoint=f"{path}/ck")
-    logs.write_stream_log(sent.filter(F.col("seq") > half), f"{path}/log", SHARDS)
+    logs.write_stream_log(late, f"{path}/log", SHARDS)
     return _copied(stream.select("seq", "shard", "partition_key"), path)
 
 
 @query("SELECT count(*) AS rows FROM events")
 def stream_batch_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows a stream read, by the progress of its batches of one file each."""
+    """Rows a stream read, by the events of its batches of one file each, over 150 of them."""
     path = run_dir(spark, "counts")
-    stream = read_stream(spark, _log(spark, sf_dir, path), max_files=1)
-    running = start(stream.writeStream.format("parquet"), f"{path}/out", f"{path}/ck")
-    finish(running)
-    return spark.createDataFrame([(sum(n for _, n in batch_counts(running)),)], "rows bigint")
+    sent = messages(spark, sf_dir)
+    logs.write_stream_log(sent, f"{path}/log", SHARDS, max_records=max(1, sent.count() // 160))
+    stream = read_stream(spark, f"{path}/log", max_files=1)
+    with BatchCounter(spark) as counter:
+        running = start(stream.writeStream.format("parquet"), f"{path}/out", f"{path}/ck")
+        finish(running)
+        counts = counter.counts(running)
+    return spark.createDataFrame([(sum(n for _, n in counts),)], "rows bigint")
 
 
 def _delivered(spark: SparkSession, sf_dir: str, label: str) -> str:
@@ -159,6 +172,19 @@ def stream_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_processed(spark, f"{path}/processed")
 
 
+@query(f"""
+WITH {TRADES_SQL}
+SELECT trans_id % 20 = 0 AS is_json, count(*) AS lines FROM trades WHERE trans_id % 20 IN (0, 4) GROUP BY ALL
+""")
+def stream_refine_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines without a symbol or that are no JSON, from the zone a refining stream sends them to."""
+    path = run_dir(spark, "rejects")
+    messages(spark, sf_dir).select("value").write.text(f"{path}/raw")
+    finish(reject_stream(spark, f"{path}/raw", f"{path}/errors", f"{path}/ck"))
+    kept = spark.read.schema("raw_line string").json(f"{path}/errors")
+    return kept.groupBy(F.col("raw_line").startswith("{").alias("is_json")).agg(F.count("*").alias("lines"))
+
+
 # --- catalogue ---------------------------------------------------------------
 
 

@@ -46,6 +46,7 @@ LOG = T.StructType(
         T.StructField("partition_key", T.StringType()),
         T.StructField("arrival_ts", T.TimestampType()),
         T.StructField("data", T.StringType()),
+        T.StructField("position", T.LongType()),
         T.StructField("shard", T.IntegerType()),
     ]
 )

@@ -39,10 +39,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     # have thousands of folders, so a few waves of tasks are enough.
     listing = max(32, 4 * spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listing))
-    if spark.sparkContext.master.startswith("local"):
-        # Small data on one machine: merging it into one task would leave the
-        # other cores idle while that task opens hundreds of hourly files.
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
     return spark
 
 

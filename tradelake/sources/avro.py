@@ -177,6 +177,9 @@ def _record_shape(avro: dict) -> Shape:
     return Shape(json_type, rebuild)
 
 
+# Fixed value: the folder name that stands for null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 # --- reading ---------------------------------------------------------------
 
 
@@ -322,13 +325,19 @@ def read_avro(
     data = rows.select(value.alias("_r"), "_file").select(
         *[F.col("_r")[name].alias(name) for name in names],
         *[
-            F.url_decode(F.regexp_extract("_file", rf"/{f.name}=([^/]*)", 1)).cast(f.dataType).alias(f.name)
+            _path_value(F.regexp_extract("_file", rf"/{f.name}=([^/]*)", 1)).cast(f.dataType).alias(f.name)
             for f in parts.fields
         ],
     )
     return _picked(data, where)
 
 
+def _path_value(text: Column) -> Column:
+    """A path column's text: percent-decoded, with ``+`` as it is and the null name as null."""
+    plain = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return F.when(plain != NULL_FOLDER, plain)
+
+
 def _picked(data: DataFrame, where: dict[str, Any] | None) -> DataFrame:
     for name, value in (where or {}).items():
         data = data.filter(F.col(name) == F.lit(value))

@@ -62,4 +62,4 @@ def reset_table(spark: SparkSession, name: str, path: str, root: str | None = No
 
 def export_result(df: DataFrame, path: str) -> None:
     """Write a query result as CSV with a header; null and empty text stay apart."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tradelake.functions.text import encode_payload
 from tradelake.operators.trades import trade_json
 from tradelake.schemas import LOG
+from tradelake.sources.files import hadoop_path
 
 # Fixed value: the key of records that have none.
 NO_KEY = "invalid"
@@ -45,14 +46,24 @@ def to_log(messages: DataFrame, shards: int) -> DataFrame:
     )
 
 
-def write_stream_log(messages: DataFrame, path: str, shards: int) -> None:
+def write_stream_log(messages: DataFrame, path: str, shards: int, max_records: int = 0) -> None:
     """Append messages to the log. One key always lands in one shard.
 
-    A shard is a folder, not a task: a hot key's shard is split over several
-    files. Files are sorted by position, so that page reads skip row groups.
+    Each record gets a position of its own: behind all that the log holds, then in
+    the order of shard and sequence number, so that records with equal sequence
+    numbers stay apart. Positions ascend with gaps. A shard is a folder, not a
+    task: the sort deals a hot shard to several tasks by range. Files are sorted
+    by position, so that page reads skip row groups. Appends have to follow each
+    other; ``max_records`` bounds a file.
     """
-    records = to_log(messages, shards).hint("rebalance", "shard")
-    records.sortWithinPartitions("shard", "seq").write.mode("append").partitionBy("shard").parquet(path)
+    spark = messages.sparkSession
+    _, fs = hadoop_path(spark, path)
+    last = None
+    if fs.exists(hadoop_path(spark, path)[0]):
+        last = read_log(spark, path).agg(F.max("position")).first()[0]
+    ordered = to_log(messages, shards).orderBy("shard", "seq", "partition_key", "data")
+    placed = ordered.withColumn("position", F.monotonically_increasing_id() + F.lit(0 if last is None else last + 1))
+    placed.write.mode("append").partitionBy("shard").option("maxRecordsPerFile", max_records).parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -60,18 +71,18 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG).parquet(path)
 
 
-def read_page(log: DataFrame, shard: int, after_seq: int | None, limit: int) -> DataFrame:
+def read_page(log: DataFrame, shard: int, after: int | None, limit: int) -> DataFrame:
     """The next ``limit`` records of one shard behind a position; None is the start."""
     page = log.filter(F.col("shard") == shard)
-    if after_seq is not None:
-        page = page.filter(F.col("seq") > after_seq)
-    return page.orderBy("seq").limit(limit)
+    if after is not None:
+        page = page.filter(F.col("position") > after)
+    return page.orderBy("position").limit(limit)
 
 
 def last_positions(log: DataFrame) -> dict[int, int]:
-    """The last sequence number of each shard: one row per shard."""
-    rows = log.groupBy("shard").agg(F.max("seq").alias("seq")).collect()
-    return {row["shard"]: row["seq"] for row in rows}
+    """The last position of each shard: one row per shard."""
+    rows = log.groupBy("shard").agg(F.max("position").alias("position")).collect()
+    return {row["shard"]: row["position"] for row in rows}
 
 
 def kafka_columns(messages: DataFrame) -> DataFrame:

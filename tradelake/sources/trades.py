@@ -13,10 +13,13 @@ from tradelake.schemas import PROCESSED, PROCESSED_PARTITIONS, TRADE_TEXT
 def read_trades_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Comma-separated trades with a header, every column as text.
 
-    Columns are found by header name, so their order in the file does not matter.
+    Columns are found by header name. Files that are read together need the same
+    header; one with another order fails and is not read with its values swapped.
+    Quotes inside quotes are doubled and a backslash is a plain character.
     ``multiline`` accepts line breaks inside quotes but reads each file in one task.
     """
-    found = spark.read.option("header", True).option("multiLine", multiline).csv(path)
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    found = reader.option("escape", '"').option("multiLine", multiline).csv(path)
     if not found.columns:
         return spark.createDataFrame([], TRADE_TEXT)
     missing = [name for name in TRADE_TEXT.names if name not in found.columns]

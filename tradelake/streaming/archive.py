@@ -15,10 +15,15 @@ FLUSH_INTERVAL = {"processingTime": "3 seconds"}
 
 
 def archive_lines(records: DataFrame, hourly: bool = False) -> DataFrame:
-    """One JSON line per record with topic and the record's own time as path parts."""
+    """One JSON line per record with topic and the record's own time as path parts.
+
+    Line breaks in a value become spaces, which mean the same between JSON tokens and are
+    not allowed inside its texts. A record without a value is the line ``null``.
+    """
+    value = F.regexp_replace(F.col("value").cast("string"), r"\R", " ")
     parts = times.plain_parts(F.col("timestamp"), last="hour" if hourly else "day")
     return records.select(
-        F.col("value").cast("string").alias("value"),
+        F.coalesce(value, F.lit("null")).alias("value"),
         "topic",
         *[column.alias(name) for name, column in parts.items()],
     )

@@ -26,7 +26,7 @@ def read_stream(
     """Stream all shards of a log.
 
     ``start`` is the oldest record, the newest one at the time of the call, a
-    time, or a map of shard to the sequence number to go on behind. For LATEST
+    time, or a map of shard to the position to go on behind. For LATEST
     give the query's checkpoint: the positions are kept next to it, so that a
     restarted query skips only what was there at its first start.
     ``max_files`` and ``max_bytes`` limit one batch.
@@ -51,7 +51,7 @@ def _behind(stream: DataFrame, positions: dict[int, int]) -> DataFrame:
         return stream
     pairs = [F.lit(number) for entry in sorted(positions.items()) for number in entry]
     last = F.try_element_at(F.create_map(*pairs), F.col("shard"))
-    return stream.filter(last.isNull() | (F.col("seq") > last))
+    return stream.filter(last.isNull() | (F.col("position") > last))
 
 
 def _first_start(spark: SparkSession, path: str, checkpoint: str | None) -> dict[int, int]:
@@ -61,7 +61,7 @@ def _first_start(spark: SparkSession, path: str, checkpoint: str | None) -> dict
     done, fs = hadoop_path(spark, f"{kept}/_SUCCESS")
     if not fs.exists(done):
         found = list(last_positions(read_log(spark, path)).items())
-        frame = spark.createDataFrame(found, "shard int, seq bigint")
+        frame = spark.createDataFrame(found, "shard int, position bigint")
         frame.coalesce(1).write.mode("overwrite").parquet(kept)
-    rows = spark.read.schema("shard int, seq bigint").parquet(kept).collect()
-    return {row["shard"]: row["seq"] for row in rows}
+    rows = spark.read.schema("shard int, position bigint").parquet(kept).collect()
+    return {row["shard"]: row["position"] for row in rows}

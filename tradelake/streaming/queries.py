@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+import threading
+from collections import defaultdict
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tradelake.operators.trades import format_events
@@ -29,9 +32,45 @@ def finish(*queries: StreamingQuery) -> None:
         query.awaitTermination()
 
 
-def batch_counts(query: StreamingQuery) -> list[tuple[int, int]]:
-    """Number and rows of each recent batch that read something."""
-    return [(p["batchId"], p["numInputRows"]) for p in query.recentProgress if p["numInputRows"]]
+class BatchCounter(StreamingQueryListener):
+    """Rows that each batch of a query read, from the events of all its batches.
+
+    A query's own ``recentProgress`` forgets old batches. Use it as a context: queries
+    started inside are counted, and ``counts`` waits until a stopped query's last
+    event has come.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.rows: dict[str, dict[int, int]] = {}
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def __enter__(self) -> BatchCounter:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.rows.setdefault(str(event.runId), {})
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        progress = event.progress
+        if progress.numInputRows:
+            self.rows.setdefault(str(progress.runId), {})[progress.batchId] = progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended[str(event.runId)].set()
+
+    def counts(self, query: StreamingQuery, wait: float = 60) -> list[tuple[int, int]]:
+        """Number and rows of each batch of a finished query that read something."""
+        if not self.ended[str(query.runId)].wait(wait):
+            raise TimeoutError("the query's end was not reported")
+        return sorted(self.rows.get(str(query.runId), {}).items())
 
 
 def display(stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
