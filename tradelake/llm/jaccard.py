@@ -2,9 +2,11 @@
 
 A set becomes its sorted 64-bit shingle hashes. Equal sets are one node from then on.
 
-1. A sound filter drops nodes that cannot link: two sets with a Jaccard similarity of
-   ``least`` share a known number of their smallest hashes, so a node needs that many of
-   these to occur in another node.
+1. A sound filter drops nodes that cannot link. In the order of the hashes, neighbours of
+   one set are neighbours in a similar set too, but for those next to a differing shingle;
+   so linked sets share a known number of such pairs among their smallest hashes, and a
+   node needs that many of its pairs to occur in another node. Unlike single shingles,
+   pairs hardly ever agree by chance, however large the corpus is.
 2. The remaining nodes order their shingles by how many nodes hold them. A linked pair
    shares a shingle among the rarest of both, at places that leave enough shingles behind.
    Nodes with such a counterpart form blocks, which hold every linked pair.
@@ -117,33 +119,53 @@ def overlap(n: int, m: int, least: int = LEAST) -> int:
     return -(-least * (n + m) // (100 + least))
 
 
+#: Neighbouring pairs that linked sets share at least, but for one.
+SPARE = 10
+
+
+def neighbours(found: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """Hashes of neighbouring pairs among the smallest shingle hashes of a set.
+
+    With similarity L and m = (1 - L) / L, a set of n differs from a linked one by d of
+    its own and e foreign shingles, where d (1 + m) + e <= m n. They break at most
+    2 d + e pairs and shift places by at most e, which leaves ``SPARE - 1`` common pairs
+    among the first 2 m n + SPARE hashes of both.
+    """
+    kept = found[: -(-2 * (100 - least) * len(found) // least) + SPARE]
+    with np.errstate(over="ignore"):
+        return _mix(kept[:-1] * _U(_BASE) + kept[1:]).view(np.int64)
+
+
 def _node(found: np.ndarray) -> tuple[int, int]:
     digest = xxhash.xxh3_128_digest(found.astype("<u8").tobytes())
     return tuple(np.frombuffer(digest, "<i8").tolist())
 
 
 def nodes_of(docs: DataFrame, doc_id: str, text: str, least: int) -> DataFrame:
-    """Per row: ``doc_id, n, node, other`` (a 128-bit name of its set) and its smallest hashes."""
+    """Per row: ``doc_id, n, node, other`` (a 128-bit name of its set) and its ``pairs``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         out = []
         for one, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts_of(batch))):
             n = len(found)
-            kept = n - needed(n, least) + max(1, n // 20)
-            out.append((one, n, *(_node(found) if n else (None, None)), found[:kept].view(np.int64) if n else None))
-        return dict(zip(("doc_id", "n", "node", "other", "smallest"), zip(*out)))
+            out.append((one, n, *(_node(found) if n else (None, None)), neighbours(found, least) if n else None))
+        return dict(zip(("doc_id", "n", "node", "other", "pairs"), zip(*out)))
 
-    return by_batch(rows, run, "doc_id long, n long, node long, other long, smallest array<long>")
+    return by_batch(rows, run, "doc_id long, n long, node long, other long, pairs array<long>")
 
 
 def may_link(nodes: DataFrame, least: int) -> DataFrame:
-    """Nodes of which enough smallest hashes occur in another node."""
-    each = nodes.select("node", F.explode("smallest").alias("h"))
+    """``node, other, n, doc_id`` of nodes of which enough pairs occur in another node.
+
+    Sets of under ``least / (100 - least)`` shingles only link with equal ones.
+    """
+    each = nodes.where(F.col("n") * (100 - least) >= least).select("node", F.explode("pairs").alias("h"))
     shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    # Two pairs of slack cover the rounding; short sets keep all their pairs.
+    enough = F.least(F.lit(SPARE - 2), F.floor((2 * least - 100) * F.col("n") / 100) - 2)
     counted = each.join(shared, "h").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
-    size = F.ceil(F.col("n") * least / 100)
-    return nodes.drop("smallest").join(counted, "node").where(F.col("c") >= F.greatest(F.lit(1), F.floor(size / 20)))
+    return nodes.drop("pairs").join(counted, "node").where(F.col("c") >= enough).drop("c")
 
 
 def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -184,12 +206,13 @@ def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str) -> Dat
 
 def rare_places(sets: DataFrame, least: int) -> DataFrame:
     """``h, node, n, place``: the rarest shared shingles of each node, by their place in its order."""
-    each = sets.select("node", "n", F.explode("h").alias("h"))
+    each = sets.select("node", F.explode("h").alias("h"))
     held = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     ordered = (
         each.join(held, "h")
-        .groupBy("node", "n")
+        .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("s"))
+        .join(sets.select("node", "n"), "node")
         .withColumn("spare", F.size("s") - F.ceil(F.col("n") * least / 100))
         .where("spare >= 0")
     )
@@ -322,9 +345,8 @@ def tiles(sets: DataFrame, blocks: DataFrame, tile: int) -> DataFrame:
 def components_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, tile: int = TILE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row."""
     rows = stored(nodes_of(docs, doc_id, text, least), "sets")
-    nodes = stored(
-        rows.where("node is not null").groupBy("node", "other").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("smallest").alias("smallest")),
-        "nodes",
+    nodes = rows.where("node is not null").groupBy("node", "other").agg(
+        F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("pairs").alias("pairs")
     )
     active = stored(may_link(nodes, least), "active")
     sets = stored(full_sets(docs, active, doc_id, text), "active-sets")
