@@ -104,7 +104,10 @@ def top_k(
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     about = rows.agg(F.max(square).alias("norm"), F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim")).first()
     top_norm, dim = float(about.norm or 0.0), int(about.dim or 0)
-    sample = [np.array(r.v, np.float64) for r in rows.where(F.size("v") == dim).orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()]
+    # A share that leaves about twice the sample goes to the sort, however many vectors there are.
+    share = min(1.0, 2 * PIVOT_SAMPLE / max(1, int(about.n)))
+    drawn = rows.where((F.size("v") == dim) & (F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(share * (1 << 30))))
+    sample = [np.array(r.v, np.float64) for r in drawn.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()]
     pivots = spread_pivots(np.array(sample).reshape(len(sample), dim), PIVOTS)
     pivot_last = np.sqrt(np.maximum(top_norm - (pivots**2).sum(1), 0))
     # How many blocks there are follows from the counts, so that each stays within memory.

@@ -160,9 +160,12 @@ def write_warc(
         F.spark_partition_id().alias("part"), "page_id", "url", "payload", "digest", "payload_bytes", refers.alias("refers_to"),
         F.when(refers.isNull(), "response").otherwise("revisit").alias("record_type"),
     )
+    # A share that leaves about twice the sample goes to the sort, however many pages there are.
+    share = min(1.0, 2 * DICTIONARY_RECORDS / max(1, pages.count()))
     sample = (
         rows.select(F.substring("payload", 1, DICTIONARY_RECORD_BYTES).alias("payload"), "page_id", "url", "digest", "payload_bytes")
         .withColumn("o", F.xxhash64("digest", "page_id"))
+        .where(F.pmod("o", F.lit(1 << 30)) < int(share * (1 << 30)))
         .orderBy("o")
         .limit(DICTIONARY_RECORDS)
         .drop("o")
