@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -101,40 +103,99 @@ def uniform(*parts: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(2.0**52)
 
 
-class Encoder:
-    """Token ids of whole texts, through a cache of white-space separated chunks.
+#: Where a stop or comma stands beside another mark, the two are one token to the pre-tokenizer.
+_MARKS = re.compile(r"[.,](?:[^\w\s]|[_\x1c-\x1f])|(?:[^\w\s]|[_\x1c-\x1f])[.,]")
+
 
-    The pre-tokenizer of the given vocabulary never matches across a space or a
-    line feed and its normalizer acts within a chunk, so the ids of a text are
-    those of its chunks in a row. Chunks that were met before cost a look-up.
-    The cache is emptied at ``limit`` chunks, which bounds its memory.
+class Encoder:
+    """Token ids of whole texts, through a cache of their chunks.
+
+    The pre-tokenizer of the given vocabulary never matches across a space or a line
+    feed and its normalizer acts within a chunk, so the ids of a text are those of its
+    chunks in a row. Texts of Latin-1 characters alone are lower-cased first and parted
+    at stops and commas, as the normalizer and pre-tokenizer would do; the chunks are
+    then fewer. Chunks that were met before cost a look-up, all others go through the
+    library. The cache is emptied at ``limit`` chunks, which bounds its memory.
     """
 
-    def __init__(self, path: str, limit: int = 300_000) -> None:
+    def __init__(self, path: str, limit: int = 1_000_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.cache: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, closed by ``end_id``."""
         end = int(end_id).to_bytes(4, "little")
-        return [self._ids(text) + end for text in texts]
-
-    def _ids(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        new = list(set(chunks).difference(self.cache))
-        for chunk, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.cache[chunk] = np.asarray(found.ids, "<u4").tobytes()
-        joined = b"".join(map(self.cache.__getitem__, chunks))
-        for chunk in new:
-            if len(chunk) > 200:
-                del self.cache[chunk]
-        return joined
+        out: list[bytes] = []
+        part: list[list[str]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            part.append(self._chunks(text))
+            size += len(part[-1])
+            if size > 50_000 or k == len(texts) - 1:
+                self._learn(set().union(*part).difference(self.cache))
+                out += [b"".join(map(self.cache.__getitem__, chunks)) + end for chunks in part]
+                if len(self.cache) > self.limit:
+                    self.cache.clear()
+                part, size = [], 0
+        return out
+
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        if "<|" not in text and _latin(text):
+            text = text.lower()
+            if not _MARKS.search(text):
+                text = text.replace(".", " . ").replace(",", " , ")
+        return text.replace("\n", " ").split(" ")
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Add the ids of new chunks.
+
+        Normalizer and pre-tokenizer leave lower-case ASCII words as they are, so these
+        go to the model itself. Other words of letters are encoded many at a time and
+        parted where a token closes a word.
+        """
+        tokenize = self.tokenizer.model.tokenize
+        plain = {c for c in chunks if c.isascii() and c.isalpha() and c.islower()}
+        for word in plain:
+            self.cache[word] = _packed([token.id for token in tokenize(word)])
+        rest = chunks.difference(plain)
+        words = [c for c in rest if c.isalpha() and c.islower() and _latin(c)]
+        parts = [words[k : k + 200] for k in range(0, len(words), 200)]
+        lines = self.tokenizer.encode_batch([" ".join(part) for part in parts], add_special_tokens=False)
+        for part, line in zip(parts, lines):
+            ids = np.asarray(line.ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
+            if len(ends) == len(part):
+                data = ids.tobytes()
+                for word, begin, end in zip(part, [0, *ends], ends):
+                    self.cache[word] = data[begin:end]
+                rest.difference_update(part)
+        left = list(rest)
+        for chunk, found in zip(left, self.tokenizer.encode_batch(left, add_special_tokens=False)):
+            self.cache[chunk] = _packed(found.ids)
+
+
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _latin(text: str) -> bool:
+    """Whether all characters are Latin-1: none combines, and each lower-cases by itself."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 _ENCODERS: dict[str, Encoder] = {}
