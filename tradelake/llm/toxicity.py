@@ -26,7 +26,7 @@ from tradelake.llm.common import by_batch, texts_of, with_text
 SIZES = (3, 4, 5, 6)
 TABLE_BITS = 20
 #: Labelled rows learnt from, per class; the only bound on what is learnt from.
-SAMPLE_PER_CLASS = 3000
+SAMPLE_PER_CLASS = 2000
 #: Features kept, by the weight of evidence for a class.
 FEATURES = 6000
 THRESHOLD = 0.7
@@ -100,11 +100,11 @@ def fit(labels: np.ndarray, weights: np.ndarray, documents: list[np.ndarray], ro
     """Scale features by their log-count ratios and train a logistic regression on them."""
     if not (labels == 1).any() or not (labels == 0).any():
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0)
-    rows = np.repeat(np.arange(len(documents)), [len(d) for d in documents])
-    columns = np.concatenate(documents).astype(np.int64)
     size = 1 << TABLE_BITS
-    toxic = np.bincount(columns, labels[rows] == 1, size)
-    clean = np.bincount(columns, labels[rows] == 0, size)
+    counts = np.zeros((2, size))
+    for label, found in zip(labels, documents):  # distinct features, so each counts once
+        counts[label][found] += 1
+    clean, toxic = counts
     # Smoothed chance of a feature in a document of each class, and the log of their ratio.
     ratio = np.log((toxic + 1) / ((labels == 1).sum() + 2)) - np.log((clean + 1) / ((labels == 0).sum() + 2))
     evidence = np.abs(ratio) * np.sqrt(toxic + clean)
@@ -113,8 +113,10 @@ def fit(labels: np.ndarray, weights: np.ndarray, documents: list[np.ndarray], ro
     kept = kept[evidence[kept] > 0]
     place = np.full(size, -1, np.int64)
     place[kept] = np.arange(len(kept))
-    used = place[columns] >= 0
-    rows, columns = rows[used], place[columns[used]]
+    # Only what a document has of the kept features is held together.
+    used = [place[found][place[found] >= 0] for found in documents]
+    rows = np.repeat(np.arange(len(documents)), [len(u) for u in used])
+    columns = np.concatenate(used)
     scale = ratio[kept][columns]
     w, b = np.zeros(len(kept)), float(np.log(weights[labels == 1].sum() / weights[labels == 0].sum()))
     share = weights / weights.sum()
