@@ -298,6 +298,54 @@ def test_jaccard(spark, docs, tile):
     assert jaccard.components_of(docs.limit(0)).count() == 0
 
 
+def edited_copies(seed, groups=6, copies=14, length=150, most=4):
+    """Texts with replaced, inserted and deleted words, so that the shingle counts of a group differ."""
+    draw = random.Random(seed)
+    rows = []
+    for g in range(groups):
+        base = [f"g{g}w{k}" for k in range(length)]
+        for _ in range(copies):
+            copy = list(base)
+            for _ in range(draw.randint(0, most)):
+                at = draw.randrange(len(copy))
+                copy[at : at + draw.randint(0, 1)] = [f"e{draw.random()}"] * draw.randint(0, 1)
+            rows.append(" ".join(copy))
+    draw.shuffle(rows)
+    return [(k, text) for k, text in enumerate(rows)]
+
+
+@pytest.mark.parametrize("tile", [2000, 4])
+def test_jaccard_of_copies_of_different_sizes(spark, tile):
+    rows = edited_copies(8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = [tuple(r) for r in jaccard.components_of(docs, tile=tile).collect()]
+    assert sorted(found) == sorted(brute_components(rows))
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_search_visits_sizes_in_any_order(split):
+    for seed in range(20):
+        draw = random.Random(seed)
+        sets = []
+        for _ in range(30):
+            edited = set(range(100)) - set(draw.sample(range(100), draw.randint(0, 5)))
+            sets.append(np.array(sorted(edited | {draw.randrange(1000, 10**9) for _ in range(draw.randint(0, 5))}), np.int64))
+        side = [k % 2 if split else 0 for k in range(30)]
+        links = [(a, b) for a in range(30) for b in range(a) if (side[a] != side[b] or not split) and 100 * len(np.intersect1d(sets[a], sets[b])) >= 90 * len(np.union1d(sets[a], sets[b]))]
+
+        def parts(edges):
+            group = {k: {k} for k in range(30)}
+            for a, b in edges:
+                joined = group[a] | group[b]
+                for x in joined:
+                    group[x] = joined
+            return sorted({tuple(sorted(g)) for g in group.values()})
+
+        edges = jaccard.search(list(range(30)), sets, side, 90)
+        assert {tuple(sorted(e)) for e in edges} <= {tuple(sorted(e)) for e in links}
+        assert parts(edges) == parts(links)
+
+
 def test_components(spark):
     draw = random.Random(6)
     edges = [(draw.randrange(200), draw.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 340)] + [(400, k) for k in range(401, 450)]

@@ -254,7 +254,7 @@ def block_edges(places: DataFrame, least: int) -> DataFrame:
 
 
 def divide_skip(query: np.ndarray, lists: dict[int, list[int]], sizes: list[int], least: int, known) -> Iterator[int]:
-    """Indexed sets that link with ``query``; ``known`` tells which need no probe."""
+    """Indexed sets that link with ``query``, from ascending lists; ``known`` tells which need no probe."""
     n = len(query)
     low = needed(n, least)
     mine = sorted((found for h in query.tolist() if (found := lists.get(h))), key=len)
@@ -286,6 +286,9 @@ def search(nodes: list[int], sets: list[np.ndarray], side: list[int], least: int
     Sets of side 0 are indexed; those of side 1 are searched for in the index, or, if
     there are none, the sets of side 0 among each other.
     """
+    # Numbered in the order of their visits, so that inverted lists ascend as they grow.
+    order = sorted(range(len(sets)), key=lambda k: (side[k], len(sets[k])))
+    nodes, sets, side = [nodes[k] for k in order], [sets[k] for k in order], [side[k] for k in order]
     every, counts = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.int64), np.zeros(0))
     common = every[counts > 1]
     parent = list(range(len(sets)))
@@ -311,7 +314,7 @@ def search(nodes: list[int], sets: list[np.ndarray], side: list[int], least: int
             edges.append((nodes[k], nodes[one]))
 
     split = 1 in side
-    for k in sorted(range(len(sets)), key=lambda k: (side[k], sizes[k])):
+    for k in range(len(sets)):
         if not split or side[k]:
             ask(k)
         if not side[k]:
