@@ -17,6 +17,9 @@ from tradelake.llm.common import session, stored
 #: SQL can't express the trained classifier, so there is none for the whole.
 ORACLE_SQL = None
 
+#: Words of a shingle and least similarity, per cent, of the near-duplicate stage; op10's query has its own.
+SHINGLE, LEAST = 5, 80
+
 
 def _neutral(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The documents with numbered columns, and each column's number by name."""
@@ -54,7 +57,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     session(spark)
     rows, at = _neutral(docs)
     doc_id, text = at["doc_id"], at["text"]
-    found = stored(jaccard.components_of(rows, doc_id, text), "classes")
+    found = stored(jaccard.components_of(rows, doc_id, text, LEAST, shingle=SHINGLE), "classes")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
     kept = rows.join(gone, F.col(doc_id) == F.col("gone"), "left_anti")
     again = stored(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("again")), "again")

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tradelake.llm import extraction, host_quality, jaccard, licenses, mixing, packing, token_files, topk, toxicity, warc
 from tradelake.llm.common import components, encoder, session
 from tradelake.llm.elias_fano import EliasFano
@@ -346,6 +347,36 @@ def test_search_visits_sizes_in_any_order(split):
         assert parts(edges) == parts(links)
 
 
+def brute_classes(rows, shingle, least):
+    """The least id of each row's component, by all pairs of rows."""
+    split = [text.lower().split() for _, text in rows]
+    sets = [{tuple(words[i : i + shingle]) for i in range(len(words) - shingle + 1)} for words in split]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+                parent[root(a)] = root(b)
+    least_id = {}
+    for k, (one, _) in enumerate(rows):
+        least_id[root(k)] = min(one, least_id.get(root(k), one))
+    return {one: least_id[root(k)] for k, (one, _) in enumerate(rows)}
+
+
+def test_pipeline_stage_equals_brute_force(spark):
+    """Near copies between the thresholds of the query and of the stage are dropped."""
+    rows = edited_copies(9, groups=5, copies=8, most=7)
+    docs = spark.createDataFrame([(k, text, "en", "a", len(text)) for k, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    want = {one for one, least in brute_classes(rows, 5, 80).items() if one == least}
+    assert want != {one for one, least in brute_classes(rows, 3, 90).items() if one == least}
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()} == want
+
+
 def test_components(spark):
     draw = random.Random(6)
     edges = [(draw.randrange(200), draw.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 340)] + [(400, k) for k in range(401, 450)]

@@ -82,8 +82,8 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.r_[0, np.searchsorted(first, ends)])
 
 
-def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
-    """The sorted shingle hashes of each text; they are computed a megabyte at a time."""
+def shingle_sets(texts: list[str], shingle: int = SHINGLE) -> Iterator[np.ndarray]:
+    """The sorted hashes of each text's ``shingle`` words in a row; they are computed a megabyte at a time."""
     with np.errstate(over="ignore"):
         part: list[str] = []
         size = 0
@@ -98,13 +98,13 @@ def shingle_sets(texts: list[str]) -> Iterator[np.ndarray]:
                     at += n
                     if n == 0:
                         yield np.zeros(0, _U)
-                    elif n < SHINGLE:
+                    elif n < shingle:
                         h = _U(n)
                         yield np.array([xxhash.xxh3_64_intdigest(bytes([n]) + w.tobytes())], _U)
                     else:
-                        h = w[: n - 2]
-                        for step in range(1, SHINGLE):
-                            h = _mix(h * _U(_BASE) + w[step : n - SHINGLE + 1 + step])
+                        h = w[: n - shingle + 1]
+                        for step in range(1, shingle):
+                            h = _mix(h * _U(_BASE) + w[step : n - shingle + 1 + step])
                         yield np.unique(h)
                 part, size = [], 0
 
@@ -141,13 +141,13 @@ def _node(found: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(digest, "<i8").tolist())
 
 
-def nodes_of(docs: DataFrame, doc_id: str, text: str, least: int) -> DataFrame:
+def nodes_of(docs: DataFrame, doc_id: str, text: str, least: int, shingle: int = SHINGLE) -> DataFrame:
     """Per row: ``doc_id, n, node, other`` (a 128-bit name of its set) and its ``pairs``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         out = []
-        for one, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts_of(batch))):
+        for one, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts_of(batch), shingle)):
             n = len(found)
             out.append((one, n, *(_node(found) if n else (None, None)), neighbours(found, least) if n else None))
         return dict(zip(("doc_id", "n", "node", "other", "pairs"), zip(*out)))
@@ -168,7 +168,7 @@ def may_link(nodes: DataFrame, least: int) -> DataFrame:
     return nodes.drop("pairs").join(counted, "node").where(F.col("c") >= enough).drop("c")
 
 
-def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str) -> DataFrame:
+def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE) -> DataFrame:
     """``node, other, n, h`` with all hashes of the active nodes, from a second scan.
 
     A bit table of fixed size, set at the ids of the active nodes, lets the scan pass
@@ -196,7 +196,7 @@ def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str) -> Dat
         chosen = batch.take(pa.array(hit))
         out = [
             (*_node(found), len(found), found.view(np.int64))
-            for found in shingle_sets(texts_of(chosen)) if len(found)
+            for found in shingle_sets(texts_of(chosen), shingle) if len(found)
         ]
         return dict(zip(("node", "other", "n", "h"), zip(*out))) if out else None
 
@@ -345,14 +345,16 @@ def tiles(sets: DataFrame, blocks: DataFrame, tile: int) -> DataFrame:
     )
 
 
-def components_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, tile: int = TILE) -> DataFrame:
+def components_of(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, tile: int = TILE, shingle: int = SHINGLE
+) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row."""
-    rows = stored(nodes_of(docs, doc_id, text, least), "sets")
+    rows = stored(nodes_of(docs, doc_id, text, least, shingle), "sets")
     nodes = rows.where("node is not null").groupBy("node", "other").agg(
         F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("pairs").alias("pairs")
     )
     active = stored(may_link(nodes, least), "active")
-    sets = stored(full_sets(docs, active, doc_id, text), "active-sets")
+    sets = stored(full_sets(docs, active, doc_id, text, shingle), "active-sets")
     blocks = stored(components(block_edges(stored(rare_places(sets, least), "places"), least), "blocks"), "blocks")
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
