@@ -73,6 +73,34 @@ def test_main_text_without_article():
     assert "Home" not in extraction.main_text(page)
 
 
+@pytest.mark.parametrize(
+    "tag",
+    [
+        "div class='overflow-hidden'", "div style='overflow:hidden'", "div aria-hidden='false'", "div class='has-sidebar no-comments'", "div class=elementor-widget-container",
+        "span aria-label='Search the notice'", "div data-hidden=1", "div title='display:none'", "div style='x-display:none'",
+    ],
+)
+def test_main_text_keeps_loosely_named(tag):
+    good = "It was the time of the year when all of them had been in the house with the others for so long."
+    assert extraction.main_text(f"<body><{tag}><p>{good}</p></{tag.split()[0]}></body>") == good
+
+
+@pytest.mark.parametrize(
+    "tag",
+    ["div hidden", "div class='a' HIDDEN=''", "div aria-hidden=true", "div style='color:red; display : none'", "div class='x sidebar'", "div id='site-footer'", "div class=comment-list", "div id=comment-12", "div role=navigation"],
+)
+def test_main_text_drops_surroundings(tag):
+    good = "It was the time of the year when all of them had been in the house with the others for so long."
+    assert extraction.main_text(f"<body><p>{good}</p><{tag}><p>{good} Not this.</p></div></body>") == good
+
+
+def test_main_text_of_articles_below_names():
+    good = "It was the time of the year when all of them had been in the house with the others for so long."
+    assert extraction.main_text(f"<div class=sidebar><p>{good}</p><article><p>{good} This.</p></article></div>") == f"{good} This."
+    assert extraction.main_text(f"<div hidden><article><p>{good}</p></article></div>") == ""
+    assert extraction.main_text(f"<main><p>{good}</p><div id=comments><article><p>{good} Not.</p></article></div></main>") == good
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, 5), (1, "u", None, 5), (2, None, "<p>" + "the of and " * 50_000, 6)], "page_id long, url string, html string, text int")
     found = extraction.extract(pages, ["page_id", "url"]).collect()

@@ -47,7 +47,7 @@ BLOCK = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A new one of these ends an open one of the same group.
 CLOSES = {"p": BLOCK - {"p"} | {"p"}, "li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}}
-#: Words in class, id and role values that mark what surrounds an article.
+#: Class, id and role values that mark what surrounds an article.
 AROUND_NAMES = frozenset(
     """ad ads advert adverts advertisement advertising adbox adsense banner breadcrumb breadcrumbs comment
     comments commentlist consent contentinfo cookie cookies dialog disqus disclaimer footer footnav gdpr
@@ -57,13 +57,17 @@ AROUND_NAMES = frozenset(
     widget widgets alert complementary""".split()
 )
 
+#: Words that stand beside these in compounds, as in site-footer or comment-list.
+BESIDE_NAMES = frozenset("area bar block body box buttons global item items links list main page post posts primary secondary section site top bottom left right x".split())
+
 LINKED, SHORT_WORDS, LONG_WORDS, STOP_HIGH, STOP_LOW = 0.33, 10, 20, 0.20, 0.08
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
-_NAMED = re.compile(r"""(?:class|id|role|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-_OFF = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_UNSHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+_TOKEN = re.compile(r"[a-z0-9_-]+")
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
@@ -84,26 +88,54 @@ class Block:
         self.good: bool | None = None
 
 
-def _surrounds(name: str, attributes: str, inside: bool) -> bool:
-    if name in AROUND or name == "header" and not inside:
+#: How an element comes to surround an article: by its class, id or role, or else for good.
+BY_NAME, FOR_GOOD = 1, 2
+
+
+def _marks(token: str) -> bool:
+    """Whether a class, id or role is a name of surroundings or a compound of such names alone."""
+    if token in AROUND_NAMES:
         return True
+    parts = set(_NAME.findall(token)) if _TOKEN.fullmatch(token) else set()
+    return bool(parts & AROUND_NAMES) and parts <= AROUND_NAMES | BESIDE_NAMES
+
+
+def _surrounds(name: str, attributes: str, inside: bool) -> int:
+    if name in AROUND or name == "header" and not inside:
+        return FOR_GOOD
     if name in ("body", "html", "article", "main"):
-        return False
-    marks = {w for m in _NAMED.finditer(attributes) for w in _NAME.findall(m[1].lower())}
-    return bool(marks & AROUND_NAMES) or bool(_OFF.search(attributes))
+        return 0
+    named = False
+    for m in _ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
+        if key == "hidden" or key == "aria-hidden" and value.strip() == "true" or key == "style" and _UNSHOWN.search(value):
+            return FOR_GOOD
+        named = named or key in ("class", "id", "role") and any(map(_marks, value.split()))
+    return BY_NAME if named else 0
+
+
+def _inherits(around: int, name: str, attributes: str, inside: bool) -> int:
+    """What an element takes over from the one around it.
+
+    An article undoes a label by name, unless it stands in another article, as comments
+    do, or is itself named as surroundings.
+    """
+    if around == BY_NAME and not inside and name in ("article", "main") and not _surrounds("", attributes, inside):
+        return 0
+    return around
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, without hidden content."""
     found: list[Block] = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, surrounds, is or is in an article
+    stack: list[tuple[str, int, bool]] = []  # element, surrounds, is or is in an article
     links = breaks = at = 0
 
     def close() -> None:
         nonlocal parts
         if any(p.strip() for p, _ in parts):
-            around = bool(stack) and stack[-1][1]
+            around = bool(stack) and stack[-1][1] > 0
             heading = any(len(n) == 2 and n[0] == "h" and n[1].isdigit() for n, _, _ in stack)
             block = Block(parts, around, bool(stack) and stack[-1][2], heading)
             if block.text:
@@ -145,9 +177,10 @@ def blocks(page: str) -> list[Block]:
         if name not in BLOCK:
             if not closing and name not in VOID and not attributes.endswith("/"):
                 around = bool(stack) and stack[-1][1]
-                if not around and _surrounds(name, attributes, bool(stack) and stack[-1][2]):
+                own = 0 if around else _surrounds(name, attributes, bool(stack) and stack[-1][2])
+                if own:
                     close()
-                    stack.append((name, True, bool(stack) and stack[-1][2]))
+                    stack.append((name, own, bool(stack) and stack[-1][2]))
             elif closing and any(n == name for n, _, _ in stack):
                 close()
                 while stack.pop()[0] != name:
@@ -162,9 +195,10 @@ def blocks(page: str) -> list[Block]:
         elif name not in VOID:
             while stack and name in CLOSES.get(stack[-1][0], ()):
                 stack.pop()
-            _, around, inside = stack[-1] if stack else ("", False, False)
+            _, around, inside = stack[-1] if stack else ("", 0, False)
+            around = _inherits(around, name, attributes, inside)
             inside = inside or name in ("article", "main")
-            stack.append((name, around or _surrounds(name, attributes, inside), inside))
+            stack.append((name, max(around, _surrounds(name, attributes, inside)), inside))
     close()
     return found
 
