@@ -152,6 +152,17 @@ def test_toxicity_held_out(spark):
     assert predicted[scored.toxic == 0].mean() < 0.01
 
 
+def test_toxicity_of_a_text_alone_and_among_others():
+    texts = ["one text", "", "Another, longer text", "one text", "é", "a\0b c"]
+    together = toxicity.distinct_grams(texts)
+    for text, found in zip(texts, together):
+        assert found.tolist() == toxicity.distinct_grams([text])[0].tolist()
+    features = np.unique(np.concatenate(together + toxicity.distinct_grams(["".join(texts)])))
+    model = toxicity.Model(features, np.random.default_rng(7).normal(size=len(features)), 0.1)
+    for order in (texts, texts[::-1]):
+        assert model.scores(order) == pytest.approx(np.concatenate([model.scores([t]) for t in order]), abs=1e-12)
+
+
 def test_toxicity_edges(spark, docs):
     labels = spark.createDataFrame([(k, k % 2) for k in range(7, 60)] + [(None, 1), (8, None), (7, 1)], "doc_id long, toxic int")
     model = toxicity.train(docs, labels)

@@ -55,7 +55,8 @@ def grams(texts: list[str]) -> tuple[np.ndarray, list[np.ndarray]]:
             if step + 1 in SIZES:
                 mixed = ((rolling ^ (rolling >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> shift
                 mixed = mixed.astype(np.int32)
-                mixed[data[step:] == 0] = -1
+                # Those that begin in a separator may end in the next text.
+                mixed[(data[step:] == 0) | (owner[step:] != owner[: len(mixed)])] = -1
                 hashed.append(mixed)
     return owner, hashed
 
