@@ -305,6 +305,30 @@ def test_top_k(spark):
     assert topk.top_k(rows.limit(0), rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 8, 211])
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_top_k_of_many_blocks(spark, partitions, coalesce):
+    draw = np.random.default_rng(6)
+    vectors = np.round(draw.normal(size=(700, 6)), 1)
+    vectors[600:] = vectors[:100]
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    try:
+        found = topk.top_k(rows, rows.where("vec_id % 5 = 0"), query_block=16, vector_block=64).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    whole = np.floor(256 * vectors).astype(np.int64)
+    scores = whole[::5] @ whole.T
+    want = []
+    for q, row in zip(range(0, 700, 5), scores.tolist()):
+        best = sorted((-s, i) for i, s in enumerate(row) if i != q)[:5]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == want
+
+
 # --- near duplicates -------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ norm, so that the largest inner product is the smallest Euclidean distance. Dist
 of every vector to a fixed set of pivots are computed once; for a query and a candidate
 the largest difference of their distances to a pivot bounds their distance from below.
 Within a block, candidates are evaluated in the order of that bound until it exceeds
-the k-th best distance found.
+the k-th best distance found, or the one that a fixed sample of all vectors allows.
 
 Vectors that are null, or hold null or non-finite components, take no part, nor do
 rows without an id. Vectors of different length are not compared. A query id that
@@ -18,17 +18,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradelake.llm.common import stored
+from tradelake.llm.common import by_batch, stored
 
 PIVOTS = 32
 PIVOT_SAMPLE = 2000
 QUERY_BLOCK = 2048
 VECTOR_BLOCK = 8192
-STEP = 128
+#: Candidates evaluated at first; each further step takes twice as many, up to a limit.
+STEP, MOST = 128, 2048
 
 
 def scaled(vectors: DataFrame, vec_id: str, embedding: str, scale: int = 256) -> DataFrame:
@@ -61,26 +63,44 @@ def distances(vectors: np.ndarray, last: np.ndarray, pivots: np.ndarray, pivot_l
     return np.sqrt(np.maximum(squares, 0) + (last[:, None] - pivot_last) ** 2)
 
 
-def search_block(q_ids, queries, q_table, x_ids, vectors, x_table, top_norm, k):
-    """``query_id, vec_id, score`` of the best ``k`` of one block for each query."""
-    exact = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, vectors.shape[1]) < 2**53
-    kind = np.float64 if exact else np.int64
+def product_kind(vectors: np.ndarray, queries: np.ndarray) -> type:
+    """The number type in which inner products are exact."""
+    largest = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, vectors.shape[1])
+    return np.float64 if largest < 2**53 else np.int64
+
+
+def least_scores(q_ids: list[int], queries: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> list[int | None]:
+    """For each query the ``k``-th best score in a sample, which its result reaches at least."""
+    kind = product_kind(sample, queries)
+    data, out = sample.astype(kind), []
+    for one, query in zip(q_ids, queries):
+        scores = (data @ query.astype(kind))[sample_ids != one]
+        out.append(int(np.partition(scores, -k)[-k]) if len(scores) >= k else None)
+    return out
+
+
+def search_block(q_ids, queries, q_table, floors, x_ids, vectors, x_table, top_norm, k):
+    """``query_id, vec_id, score`` of the best ``k`` of one block for each query.
+
+    Candidates that cannot reach a query's floor, where it has one, may be left out.
+    """
+    kind = product_kind(vectors, queries)
     data = vectors.astype(kind)
     out: list[tuple[int, int, int]] = []
-    for one, query, row in zip(q_ids, queries, q_table):
+    for one, query, row, floor in zip(q_ids, queries, q_table, floors):
         bound = np.abs(x_table - row).max(1)
         order = np.argsort(bound, kind="stable")
         norm = float((query.astype(np.float64) ** 2).sum()) + top_norm
         slack = 1e-9 * norm + 1e-6
         ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = 0
+        at, step, limit = 0, STEP, np.inf if floor is None else norm - 2.0 * floor + slack
         while at < len(order):
             if len(ids) == k:
-                limit = norm - 2.0 * float(scores[-1]) + slack
-                if bound[order[at]] ** 2 > limit:
-                    break
-            chosen = order[at : at + STEP]
-            at += STEP
+                limit = min(limit, norm - 2.0 * float(scores[-1]) + slack)
+            if bound[order[at]] ** 2 > limit:
+                break
+            chosen = order[at : at + step]
+            at, step = at + step, min(2 * step, MOST)
             chosen = chosen[x_ids[chosen] != one]
             ids = np.concatenate([ids, x_ids[chosen]])
             scores = np.concatenate([scores, (data[chosen] @ query.astype(kind)).astype(np.int64)])
@@ -92,12 +112,14 @@ def search_block(q_ids, queries, q_table, x_ids, vectors, x_table, top_norm, k):
 
 def top_k(
     vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding",
-    scale: int = 256,
+    scale: int = 256, query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` candidates with the largest inner product.
 
-    Queries and candidates meet in blocks of bounded size; a block returns at most ``k``
-    rows per query. Only pivots from a bounded sample reach the driver.
+    Queries and candidates meet in blocks of about ``query_block`` and ``vector_block``
+    rows; a block returns at most ``k`` rows per query. A query carries the ``k``-th best
+    score of a bounded sample into every block, so that each begins with a bound. Only
+    that sample, from which the pivots come, reaches the driver.
     """
     rows = stored(scaled(vectors, vec_id, embedding, scale), "vectors")
     asked = scaled(queries, vec_id, embedding, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
@@ -107,16 +129,39 @@ def top_k(
     # A share that leaves about twice the sample goes to the sort, however many vectors there are.
     share = min(1.0, 2 * PIVOT_SAMPLE / max(1, int(about.n)))
     drawn = rows.where((F.size("v") == dim) & (F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(share * (1 << 30))))
-    sample = [np.array(r.v, np.float64) for r in drawn.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()]
-    pivots = spread_pivots(np.array(sample).reshape(len(sample), dim), PIVOTS)
+    taken = drawn.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()
+    sample_ids = np.array([r.vec_id for r in taken], np.int64)
+    sample = np.array([r.v for r in taken], np.int64).reshape(len(taken), dim)
+    pivots = spread_pivots(sample.astype(np.float64), PIVOTS)
     pivot_last = np.sqrt(np.maximum(top_norm - (pivots**2).sum(1), 0))
+    shared = rows.sparkSession.sparkContext.broadcast((sample_ids, sample))
+
+    def floored(batch: pa.RecordBatch) -> dict[str, object]:
+        ids, vs = batch.column("vec_id").to_pylist(), batch.column("v").to_pylist()
+        floors: list[int | None] = [None] * len(ids)
+        same = [i for i, v in enumerate(vs) if len(v) == dim]
+        queries = np.array([vs[i] for i in same], np.int64).reshape(len(same), dim)
+        for i, floor in zip(same, least_scores([ids[i] for i in same], queries, *shared.value, k)):
+            floors[i] = floor
+        return {"vec_id": ids, "v": vs, "floor": floors}
+
+    asked = stored(by_batch(asked, floored, "vec_id long, v array<long>, floor long"), "queries")
     # How many blocks there are follows from the counts, so that each stays within memory.
-    n_x = max(1, -(-int(about.n) // VECTOR_BLOCK))
-    n_q = max(1, -(-asked.count() // QUERY_BLOCK))
-    x_block, q_block = F.pmod(F.xxhash64("vec_id", F.lit("x")), F.lit(n_x)), F.pmod(F.xxhash64("vec_id", F.lit("q")), F.lit(n_q))
+    n_x = max(1, -(-int(about.n) // vector_block))
+    n_q = max(1, -(-asked.count() // query_block))
+
+    def dealt(key: str, count: int) -> Column:
+        return F.pmod(F.xxhash64("vec_id", F.lit(key)), F.lit(count)).cast("long")
+
+    def every(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+
     # Candidates with the same id would share a block; their number is that of repeated rows.
-    left = asked.withColumn("q", q_block).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(n_x - 1))))
-    right = rows.withColumn("x", x_block).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
+    left = asked.withColumn("q", dealt("q", n_q)).select("*", every(n_x).alias("x"))
+    right = rows.withColumn("x", dealt("x", n_x)).select("*", every(n_q).alias("q"))
+    # A cogroup does not cast its keys, and values of other types are dealt to other tasks.
+    if any(left.schema[key].dataType != right.schema[key].dataType for key in ("q", "x")):
+        raise TypeError("the block keys of both sides need one type")
 
     def meet(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, int]] = []
@@ -131,7 +176,8 @@ def top_k(
             xf, qf = xs.astype(np.float64), qs.astype(np.float64)
             x_table = distances(xf, np.sqrt(np.maximum(top_norm - (xf**2).sum(1), 0)), p, p_last)
             q_table = distances(qf, np.zeros(len(qf)), p, p_last)
-            out += search_block(a.vec_id.to_numpy(), qs, q_table, b.vec_id.to_numpy(), xs, x_table, top_norm, k)
+            floors = [None if pd.isna(f) else int(f) for f in a.floor]
+            out += search_block(a.vec_id.to_numpy(), qs, q_table, floors, b.vec_id.to_numpy(), xs, x_table, top_norm, k)
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     found = left.groupBy("q", "x").cogroup(right.groupBy("q", "x")).applyInPandas(meet, "query_id long, vec_id long, score long")
