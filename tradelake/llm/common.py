@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tradelake.session import prepare, run_dir, ship_package
 from tradelake.sources.files import hadoop_path
@@ -87,6 +88,58 @@ def with_text(df: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, str
     return df.select(*(F.col(f"`{name}`") for name in keep), F.col(f"`{text}`").alias("__text")), "__text", schema
 
 
+def apart(df: DataFrame, keep: list[str], results: list[str], **used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Columns under names of their own, so that an operator's names can't clash with them.
+
+    Returns the columns ``keep`` as ``k0, k1, ...`` beside the columns ``used`` under their
+    keys, and a function that gives a result with ``k0, k1, ...`` and ``results`` the names
+    back. A kept column with the name of a result is called ``<name>_in`` from then on.
+    """
+    rows = df.select(
+        *(F.col(f"`{name}`").alias(f"k{i}") for i, name in enumerate(keep)),
+        *(F.col(f"`{name}`").alias(key) for key, name in used.items()),
+    )
+    names: list[str] = []
+    for name in keep:
+        while name in results or name in names:
+            name += "_in"
+        names.append(name)
+
+    def named(found: DataFrame) -> DataFrame:
+        return found.select(*(F.col(f"k{i}").alias(name) for i, name in enumerate(names)), *results)
+
+    return rows, named
+
+
+def placed(df: DataFrame, group: list[str], order: list[Column], label: str) -> DataFrame:
+    """The rows with their ``place`` in their group, from 0 in the given order, and its ``total``.
+
+    One sort by range deals a large group to many tasks. A row's place is what earlier
+    ranges hold of its group and its place in its own range; it is written in the pass that
+    sorts, so that later attempts read the same. A null in ``group`` is a group too.
+    """
+    keys = [*(F.col(g).asc_nulls_first() for g in group), *order]
+    rows = stored(
+        df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        .select("*", F.spark_partition_id().alias("__part"), F.monotonically_increasing_id().alias("__at")),
+        label,
+    )
+    whole = Window.partitionBy(*group)
+    spans = (
+        rows.groupBy("__part", *group).agg(F.count(F.lit(1)).alias("__rows"), F.min("__at").alias("__from"))
+        .withColumn("__base", F.coalesce(F.sum("__rows").over(whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("__from"))
+        .select(F.col("__part").alias("__p"), *(F.col(g).alias(f"__{g}") for g in group), "__base", F.sum("__rows").over(whole).alias("total"))
+    )
+    same = F.col("__part") == F.col("__p")
+    for g in group:
+        same &= F.col(g).eqNullSafe(F.col(f"__{g}"))
+    # One row for each range and group; its true size decides whether it is broadcast.
+    return (
+        rows.join(stored(spans, f"{label}-spans"), same)
+        .select(*df.columns, (F.col("__at") + F.col("__base")).alias("place"), "total")
+    )
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; null counts as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

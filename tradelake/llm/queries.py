@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import extraction, host_quality, jaccard, licenses, mixing, packing, token_files, topk, toxicity, warc
+from tradelake.llm import crc_sql, extraction, host_quality, jaccard, licenses, merkle, mixing, packing, token_files, topk, toxicity, warc
 from tradelake.llm.common import session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,3 +218,55 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(least_id, doc_id) AS compo
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under a Jaccard similarity of 0.9 or more."""
     return jaccard.components_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _merkle_sql(levels: int = 6, tops: int = 4) -> str:
+    """The tree and all proofs by one step of SQL a level; trees of ``16 ** levels`` leaves and ``16 ** tops`` sources."""
+
+    def h(fields: list[str]) -> str:
+        parts = (f"coalesce(octet_length(encode({f}::VARCHAR)) || ':' || {f}::VARCHAR, '-')" for f in fields)
+        return f"sha256({' || '.join(parts)})"
+
+    lowered = f"CASE WHEN {crc_sql.crc32('doc_id::VARCHAR')} % 5 = 0 THEN {crc_sql.lower_ascii('text')} ELSE text END"
+    steps = [
+        crc_sql.TABLE,
+        f"""docs AS (SELECT doc_id, source, lang, n_chars, text, {lowered} AS copy FROM documents, crc_table),
+leaves AS (SELECT doc_id, source, {h(['doc_id', 'source', 'lang', 'n_chars', 'text'])} AS hash,
+  {h(['doc_id', 'source', 'lang', 'n_chars', 'copy'])} AS claim FROM docs),
+n0 AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS LAST, hash) - 1 AS idx,
+  count(*) OVER (PARTITION BY source) AS n, hash FROM leaves),
+c0 AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS LAST, hash) - 1 AS idx,
+  hash AS leaf, claim AS folded, '' AS proof FROM leaves)""",
+    ]
+
+    def climb(k: int, after: str, same: str) -> str:
+        """Level ``k`` of a tree and the climb to it."""
+        return f"""{after}{k} AS (
+  SELECT source, idx // 16 AS idx, (n + 15) // 16 AS n, list(hash ORDER BY idx) AS below,
+         CASE WHEN n > 1 THEN sha256(string_agg(hash, '' ORDER BY idx)) ELSE any_value(hash) END AS hash
+  FROM {after}{k - 1} GROUP BY source, idx // 16, n),
+{same}{k} AS (
+  SELECT c.* EXCLUDE (idx, folded, proof), c.idx // 16 AS idx,
+         CASE WHEN len(p.below) + p.n > 2 THEN sha256(array_to_string(p.below[:c.idx % 16] || [c.folded] || p.below[c.idx % 16 + 2:], '')) ELSE c.folded END AS folded,
+         c.proof || array_to_string(p.below[:c.idx % 16] || p.below[c.idx % 16 + 2:], '') AS proof
+  FROM {same}{k - 1} c JOIN {after}{k} p ON c.source IS NOT DISTINCT FROM p.source AND c.idx // 16 = p.idx)"""
+
+    steps += [climb(k, "n", "c") for k in range(1, levels + 1)]
+    steps.append(f"""ranks AS (
+  SELECT source AS name, NULL::VARCHAR AS source, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS idx, count(*) OVER () AS n, hash FROM n{levels}),
+t0 AS (SELECT source, idx, n, hash FROM ranks),
+d0 AS (SELECT c.doc_id, c.leaf, r.hash AS subroot, NULL::VARCHAR AS source, r.idx, c.folded, c.proof FROM c{levels} c JOIN ranks r ON c.source IS NOT DISTINCT FROM r.name)""")
+    steps += [climb(k, "t", "d") for k in range(1, tops + 1)]
+    return f"""WITH {', '.join(steps)}
+SELECT doc_id, leaf, subroot, t.hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = t.hash AS verified
+FROM d{tops}, t{tops} t"""
+
+
+@query(_merkle_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest, and whether a partly lower-cased copy still leads to its root."""
+    docs = table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    copy = {"text": F.when(chosen, merkle.lower_ascii(F.col("text"))).otherwise(F.col("text"))}
+    found = merkle.check(merkle.build(docs, claims=copy))
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
