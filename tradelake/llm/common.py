@@ -111,6 +111,12 @@ def apart(df: DataFrame, keep: list[str], results: list[str], **used: str) -> tu
     return rows, named
 
 
+def kept_schema(rows: DataFrame, *results: str) -> str:
+    """The schema of the columns that :func:`apart` kept, followed by results."""
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if re.fullmatch(r"k\d+", f.name)]
+    return ", ".join([*kept, *results])
+
+
 def placed(df: DataFrame, group: list[str], order: list[Column], label: str) -> DataFrame:
     """The rows with their ``place`` in their group, from 0 in the given order, and its ``total``.
 

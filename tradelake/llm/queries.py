@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import crc_sql, extraction, host_quality, jaccard, licenses, merkle, mixing, packing, token_files, topk, toxicity, warc
+from tradelake.llm import crc_sql, extraction, host_quality, jaccard, licenses, merkle, mixing, packing, pieces, resampling, token_files, topk, toxicity, warc
 from tradelake.llm.common import session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,6 +220,53 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def _resample_sql() -> str:
+    """Windows as joined words, their buckets by the checksum of each distinct one."""
+    words = f"regexp_extract_all({crc_sql.lower_ascii('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH {crc_sql.TABLE},
+texts AS (
+  SELECT 'd' AS kind, row_number() OVER () AS r, doc_id, {words} AS w FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+  UNION ALL
+  SELECT 't', row_number() OVER (), NULL, {words} FROM (SELECT coalesce(text, '') AS text FROM benchmark)),
+spots AS (SELECT kind, r, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+spans AS (SELECT kind, r, array_to_string(w[i:i + n - 1], ' ') AS f FROM spots, range(1, 4) t(n) WHERE i + n - 1 <= len(w)),
+named AS (SELECT f, {crc_sql.crc32('f')} % 10000 AS bucket FROM (SELECT DISTINCT f FROM spans), crc_table),
+found AS (SELECT kind, r, bucket FROM spans JOIN named USING (f)),
+sums AS (
+  SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 't') AS t,
+         sum(count(*) FILTER (kind = 'd')) OVER () AS all_s, sum(count(*) FILTER (kind = 't')) OVER () AS all_t
+  FROM found GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain FROM sums),
+weights AS (SELECT r, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM found JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM texts LEFT JOIN weights USING (r) WHERE kind = 'd'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score::BIGINT AS score, CASE WHEN n_words >= 20 AND place <= (5 * n) // 100 THEN place END::BIGINT AS rank
+FROM ranked
+"""
+
+
+@query(_resample_sql())
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance for the benchmark texts, and its place in the draw."""
+    docs, targets = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return resampling.resample(docs, targets).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums of every document's ids and of the text that they decode to."""
+    decoded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), ["doc_id"]), ["doc_id", "ids"])
+    return decoded.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def _merkle_sql(levels: int = 6, tops: int = 4) -> str:
     """The tree and all proofs by one step of SQL a level; trees of ``16 ** levels`` leaves and ``16 ** tops`` sources."""
 
