@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -111,26 +112,24 @@ class Words:
 
     def clear(self) -> None:
         self.chunks: dict[str, int] = {}
-        self.counts: list[int] = []
+        #: Of every chunk: how many words it has, and the place of the first among all.
+        self.counts = np.zeros((0, 2), np.int64)
         #: Of every word of the chunks: its checksum, that with a space before it, and its bytes.
-        self.found: list[tuple[int, int, int]] = []
-        self.held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        self.found = np.zeros((0, 3), np.int64)
 
     def _learn(self, chunks: set[str]) -> None:
+        counts: list[tuple[int, int]] = []
+        found: list[tuple[int, int, int]] = []
+        known, at = len(self.chunks), len(self.found)
         for chunk in chunks.difference(self.chunks):
             words = self.split.pre_tokenize_str(chunk)
-            self.chunks[chunk] = len(self.counts)
-            self.counts.append(len(words))
+            self.chunks[chunk] = known + len(counts)
+            counts.append((len(words), at + len(found)))
             for _, (begin, end) in words:
                 word = chunk[begin:end].encode("utf-8")
-                self.found.append((crc32(word), crc32(b" " + word), len(word)))
-            self.held = None
-
-    def _arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if self.held is None:
-            counts = np.array(self.counts, np.int64)
-            self.held = counts, np.cumsum(counts) - counts, np.array(self.found, np.int64).reshape(-1, 3)
-        return self.held
+                found.append((crc32(word), crc32(b" " + word), len(word)))
+        self.counts = np.concatenate([self.counts, np.array(counts, np.int64).reshape(-1, 2)])
+        self.found = np.concatenate([self.found, np.array(found, np.int64).reshape(-1, 3)])
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The found numbers of every word, a row each, and how many words each text has."""
@@ -139,13 +138,12 @@ class Words:
         # Bytes of letters beyond ASCII are not changed.
         parted = [text.encode("utf-8").lower().decode("utf-8").replace("\n", " ").split(" ") for text in texts]
         self._learn(set().union(*parted))
-        counts, starts, found = self._arrays()
         lengths = [len(chunks) for chunks in parted]
-        chosen = np.fromiter((self.chunks[c] for chunks in parted for c in chunks), np.int64, sum(lengths))
-        many = counts[chosen]
-        at = np.repeat(starts[chosen] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        chosen = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(parted)), np.int64, sum(lengths))
+        many, first = self.counts[chosen].T
+        at = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
         ends = np.r_[0, np.cumsum(many)][np.cumsum(lengths, dtype=np.int64)]
-        return found[at], np.diff(np.r_[0, ends])
+        return self.found[at], np.diff(np.r_[0, ends])
 
     def buckets(self, texts: list[str]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
         """For parts of the texts: their numbers of words, and the buckets of all windows by length.
