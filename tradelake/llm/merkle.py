@@ -6,7 +6,8 @@ in the same way, whose last node is the root. Every built level is stored as row
 name their parent. The check is a recursive query over these rows: it ascends from node
 to parent, appends the siblings it passes and folds the claimed hash of each leaf with
 them. The leaves of a run pass the same nodes, so they ascend together in one row, which
-holds one folded hash a leaf and the siblings above the run once.
+holds the siblings above the run once and one folded hash for each leaf; leaves whose
+hashes fold to the same in the first step, as all unchanged ones do, share theirs.
 
 A null field counts as ``-``, which no value can equal. Leaves with equal ids are ordered
 by their hash, null ids come last, a null source is a source and comes first; repeated
@@ -34,7 +35,7 @@ CLIMB = f"""
 WITH RECURSIVE climb (run, up, pos, folded, above, subroot) AS (
   SELECT run, up, pos, folded, '', subroot FROM {{start}}
   UNION ALL
-  SELECT c.run, n.up, n.pos,
+  SELECT /*+ MERGE(n) */ c.run, n.up, n.pos,
          transform(c.folded, h -> sha2(concat(left(n.children, {DIGEST} * c.pos), h, substr(n.children, {DIGEST} * c.pos + {DIGEST + 1})), 256)),
          concat(c.above, left(n.children, {DIGEST} * c.pos), substr(n.children, {DIGEST} * c.pos + {DIGEST + 1})),
          coalesce(c.subroot, n.subroot)
@@ -191,7 +192,8 @@ def check(manifest: Manifest) -> DataFrame:
             F.sha2(F.concat(F.left("children", own), x["claim"], F.substr("children", own + DIGEST + 1)), 256)
         )
 
-    start = manifest.runs.select("run", "up", "pos", F.transform("leaves", folded).alias("folded"), "subroot")
+    runs = manifest.runs.select("*", F.transform("leaves", folded).alias("first"))
+    start = runs.select("run", "up", "pos", F.array_distinct("first").alias("folded"), "subroot")
     limit = spark.conf.get("spark.sql.cteRecursionRowLimit")
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # the number of rows is that of runs and levels
     try:
@@ -199,13 +201,15 @@ def check(manifest: Manifest) -> DataFrame:
     finally:
         spark.conf.set("spark.sql.cteRecursionRowLimit", limit)
     root = F.lit(manifest.root).cast("string")
+    # Nodes and runs grow with the leaves: they are joined by sorting at every size.
     return (
-        manifest.runs.select("run", "leaves", "children")
-        .join(climbed, "run")
-        .select("children", "folded", "above", "subroot", F.posexplode("leaves").alias("i", "x"))
+        runs.select("run", "leaves", "children", "first", F.array_distinct("first").alias("kinds"))
+        .join(climbed.hint("merge"), "run")
+        .select("children", "first", "kinds", "folded", "above", "subroot", F.posexplode("leaves").alias("i", "x"))
+        .withColumn("folded_root", F.get("folded", (F.array_position("kinds", F.get("first", "i")) - 1).cast("int")))
         .select(
             F.col("x.doc_id").alias("doc_id"), F.col("x.hash").alias("leaf"), "subroot", root.alias("root"),
             F.concat(siblings(F.col("children"), F.col("i")), "above").alias("proof"),
-            F.get("folded", F.col("i")).alias("folded_root"), (F.get("folded", F.col("i")) == root).alias("verified"),
+            "folded_root", (F.col("folded_root") == root).alias("verified"),
         )
     )

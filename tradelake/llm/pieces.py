@@ -85,7 +85,7 @@ class PieceEncoder:
     the number of symbols beyond which a word is merged from a heap.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000, long: int = LONG) -> None:
+    def __init__(self, path: str, limit: int = 300_000, long: int = LONG) -> None:
         from sentencepiece import SentencePieceProcessor
         from sentencepiece.sentencepiece_model_pb2 import ModelProto, TrainerSpec
 
