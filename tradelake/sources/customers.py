@@ -57,7 +57,12 @@ def dated(df: DataFrame, year: int, month: int, day: Column) -> DataFrame:
 
 
 def customers(spark: SparkSession, n: int = 10_000, seed: int = 0, days: int = 10) -> DataFrame:
-    """``n`` made-up customers by id and seed, the same ones on each of ``days`` days.
+    """``n`` made-up customers by id and seed, the same ones on each of ``days`` days."""
+    return customers_of(spark.range(n), seed, days)
+
+
+def customers_of(ids: DataFrame, seed: int = 0, days: int = 10) -> DataFrame:
+    """A made-up customer for each ``id``, the same ones on each of ``days`` days.
 
     Every value is a hash of seed, id and column, so any task repeats exactly.
     """
@@ -75,7 +80,7 @@ def customers(spark: SparkSession, n: int = 10_000, seed: int = 0, days: int = 1
     )
     whole = 2 * 10**12
     cents = (draw("account", whole) - whole // 2).cast("decimal(20,0)")
-    rows = spark.range(n).select(
+    rows = ids.select(
         name_id("customer").alias("customerId"),
         (draw("active", 2) == 0).alias("isActive"),
         (draw("age", 51) + 20).cast("int").alias("age"),
