@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -70,6 +71,29 @@ def add_partition(spark: SparkSession, table: str, values: dict[str, str | int],
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {_literal(path)}")
 
 
+# Fixed value: the folder name of rows whose path column is null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+# Partitions that one statement registers.
+PARTITIONS = 500
+
+
+def add_partitions(spark: SparkSession, table: str, specs: list[dict[str, str]], root: str) -> None:
+    """Register partitions below ``root`` by the values in their folders' names, many in a statement."""
+    for at in range(0, len(specs), PARTITIONS):
+        listed = []
+        for spec in specs[at : at + PARTITIONS]:
+            where = "/".join(f"{name}={value}" for name, value in spec.items())
+            values = ", ".join(f"`{name}`={_value(value)}" for name, value in spec.items())
+            listed.append(f"PARTITION ({values}) LOCATION {_literal(f'{root.rstrip('/')}/{where}')}")
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(listed)}")
+
+
+def _value(folder: str) -> str:
+    """The value that a folder's name stands for, as SQL."""
+    return "NULL" if folder == NULL_FOLDER else _literal(unquote(folder))
+
+
 def repair(spark: SparkSession, table: str) -> None:
     """Register every partition folder below the table's location."""
     spark.sql(f"MSCK REPAIR TABLE {table}")
