@@ -53,11 +53,13 @@ def sent_previews(messages: DataFrame) -> DataFrame:
     return messages.select("seq", preview(F.col("value")).alias("payload"))
 
 
-def repeat_record(spark: SparkSession, value: str, n: int, key: str = "1") -> DataFrame:
-    """The same message ``n`` times under one key, for load runs."""
-    return spark.range(n).select(
-        F.col("id").alias("seq"),
+def repeat_record(record: DataFrame, n: int, key: str = "1") -> DataFrame:
+    """The ``value`` of a record ``n`` times under one key, for load runs."""
+    times = record.sparkSession.range(n).withColumnRenamed("id", "seq")
+    # One row is broadcast.
+    return times.join(F.broadcast(record.select("value").limit(1))).select(
+        "seq",
         F.lit(key).alias("partition_key"),
         F.current_timestamp().alias("arrival_ts"),
-        F.lit(value).alias("value"),
+        "value",
     )

@@ -69,13 +69,13 @@ def format_events(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def refine(df: DataFrame) -> DataFrame:
+def refine(df: DataFrame, *kept: str) -> DataFrame:
     """Event-time text and partition columns from ``transaction_ts``; the latter is dropped.
 
-    Rows without a symbol or a usable time have no partition and are left out;
+    ``kept`` names further columns to keep. Rows without a symbol or a usable time have no partition and are left out;
     :func:`unrefined` counts them.
     """
-    return _with_partitions(df).filter(_has_partition()).select(*PROCESSED_COLUMNS, *PROCESSED_PARTITIONS)
+    return _with_partitions(df).filter(_has_partition()).select(*PROCESSED_COLUMNS, *PROCESSED_PARTITIONS, *kept)
 
 
 def unrefinable(df: DataFrame) -> DataFrame:

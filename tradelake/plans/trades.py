@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tradelake.functions import text, times
 from tradelake.operators import indexing, ranking, validation
 from tradelake.operators import trades as ops
-from tradelake.operators.messages import inject_faults, repeat_record
+from tradelake.operators.messages import inject_faults, repeat_record, sent_previews
 from tradelake.plans.inputs import (
     REASON_SQL,
     SOUND_SQL,
@@ -225,12 +225,32 @@ def inject_fault_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT range AS seq, '{"note": "load run"}' AS value
+SELECT range AS seq, (SELECT props FROM events ORDER BY event_id LIMIT 1) AS value
 FROM range((SELECT count(*) FROM events))
 """)
 def repeat_one_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "events").count()
-    return repeat_record(spark, '{"note": "load run"}', n).select("seq", "value")
+    """The first event's record as often as there are events."""
+    events = table(spark, sf_dir, "events")
+    record = events.orderBy("event_id").limit(1).select(F.col("props").alias("value"))
+    return repeat_record(record, events.count()).select("seq", "value")
+
+
+@query("SELECT event_id AS seq, substr(repeat(props, 3), 1, 80) AS payload FROM events")
+def preview_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sent = table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), F.repeat("props", 3).alias("value"))
+    return sent_previews(sent)
+
+
+@query(f"""
+WITH {TRADES_SQL}
+SELECT count(*) FILTER (trans_id % 50 <> 7) AS sent, count(*) FILTER (trans_id % 50 = 7) AS errors, true AS timed FROM trades
+""")
+def delivery_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the pass that writes; ``timed`` if seconds and rate belong together."""
+    path = run_dir(spark, "counted")
+    found = ops.deliver_counted(_csv(spark, sf_dir), lambda rows: rows.write.parquet(path))
+    timed = found["elapsed"] >= 0 and found["rate"] * (found["elapsed"] + 0.01) >= found["sent"] and spark.read.parquet(path).count() == found["sent"]
+    return spark.createDataFrame([(found["sent"], found["errors"], timed)], "sent bigint, errors bigint, timed boolean")
 
 
 @query(f"""

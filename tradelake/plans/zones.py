@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions import times
-from tradelake.operators.validation import route
+from tradelake.functions.text import decode_payload, strip
 from tradelake.plans.inputs import (
     REASON_SQL,
     SOUND_SQL,
@@ -23,8 +23,9 @@ from tradelake.sources import catalog, topics
 from tradelake.sources import log as logs
 from tradelake.sources.files import reset_table
 from tradelake.sources.trades import read_processed, read_raw
-from tradelake.streaming.archive import archive_topics
-from tradelake.streaming.delivery import deliver, raw_lines
+from tradelake.streaming.archive import FLUSH, FLUSH_RECORDS, HOURLY_TASKS, archive_buffered, archive_topics
+from tradelake.streaming.buffering import drain
+from tradelake.streaming.delivery import deliver
 from tradelake.streaming.log import LATEST, read_stream
 from tradelake.streaming.queries import BatchCounter, finish, start
 from tradelake.streaming.refining import refine_stream, reject_stream
@@ -143,32 +144,39 @@ def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""
 WITH {TRADES_SQL}, checked AS (SELECT *, {REASON_SQL} AS reason FROM trades)
 SELECT reason, arrival, 'processing-failed' AS type, {ARRIVAL_SQL.format('%Y')} AS year,
-       {ARRIVAL_SQL.format('%m')} AS month, {ARRIVAL_SQL.format('%d')} AS day
+       {ARRIVAL_SQL.format('%m')} AS month, {ARRIVAL_SQL.format('%d')} AS day,
+       CASE WHEN trans_id % 20 = 4 THEN symbol END AS plain,
+       CASE WHEN trans_id % 20 NOT IN (3, 4) THEN trans_id END AS trans_id,
+       CASE WHEN trans_id % 20 NOT IN (0, 4) THEN symbol END AS symbol,
+       CASE trans_id % 20 WHEN 4 THEN NULL WHEN 2 THEN -abs(price) - 1 WHEN 1 THEN NULL ELSE price END AS price,
+       CASE WHEN trans_id % 20 <> 4 THEN dollar_amount END AS dollar_amount
 FROM checked WHERE reason IS NOT NULL
 """)
 def stream_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refused records: why, when, where, and what their unchanged payload holds."""
     path = _delivered(spark, sf_dir, "errors")
     schema = (
         "data string, reason string, arrival_ts timestamp,"
         " type string, year string, month string, day string"
     )
     kept = spark.read.schema(schema).json(f"{path}/errors")
-    return kept.withColumn("arrival", F.unix_seconds("arrival_ts")).drop("data", "arrival_ts")
+    sent = strip(decode_payload(F.col("data")))
 
+    def field(name: str, kind: str) -> Column:
+        return F.get_json_object(sent, f"$.{name}").try_cast(kind).alias(name)
 
-def _raw_batch(spark: SparkSession, sf_dir: str, path: str, *parts: str) -> str:
-    """The raw zone written as one batch, with the given path columns only."""
-    good, _ = route(logs.to_log(messages(spark, sf_dir), SHARDS))
-    raw = f"{path}/raw"
-    raw_lines(good).select("value", *parts).write.partitionBy(*parts).text(raw)
-    return raw
+    return kept.select(
+        "reason", F.unix_seconds("arrival_ts").alias("arrival"), "type", "year", "month", "day",
+        F.when(~sent.startswith("{"), sent).alias("plain"),
+        field("trans_id", "bigint"), field("symbol", "string"), field("price", "double"), field("dollar_amount", "double"),
+    )
 
 
 @query(f"WITH {SOUND_SQL} {REFINED_SQL} FROM sound")
 def stream_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = run_dir(spark, "refine")
-    raw = _raw_batch(spark, sf_dir, path, "year", "month")
-    finish(refine_stream(spark, raw, f"{path}/processed", f"{path}/ck"))
+    """The processed zone of what a delivery wrote, hour by hour."""
+    path = _delivered(spark, sf_dir, "refine")
+    finish(refine_stream(spark, f"{path}/raw", f"{path}/processed", f"{path}/ck-refine"))
     return read_processed(spark, f"{path}/processed")
 
 
@@ -261,16 +269,16 @@ WITH {SOUND_SQL}, hourly AS (
          CAST(row_number() OVER (PARTITION BY symbol, type, {BUCKET_SQL}
                                  ORDER BY dollar_amount DESC, trans_id) AS INTEGER) AS rnk,
          transaction_ts, symbol, price, amount, dollar_amount, type, trans_id,
-         {ARRIVAL_SQL.format('%m')} AS month, {ARRIVAL_SQL.format('%d')} AS day
+         {ARRIVAL_SQL.format('%m')} AS month, {ARRIVAL_SQL.format('%d')} AS day, {ARRIVAL_SQL.format('%H')} AS hour
   FROM sound)
 SELECT * FROM hourly WHERE rnk = 1
 """)
 def catalog_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest trade per hour, as SQL text on the table a crawl of the raw zone registered."""
-    path = run_dir(spark, "crawl")
-    raw, database = _raw_batch(spark, sf_dir, path, "year", "month", "day"), _database(path)
+    path = _delivered(spark, sf_dir, "crawl")
+    database = _database(path)
     catalog.create_zones(spark, {"raw": database})
-    catalog.crawl(spark, raw, database, "found_")
+    catalog.crawl(spark, f"{path}/raw", database, "found_")
     return spark.sql(f"""
         WITH by_hour AS (
           SELECT date_format(timestamp_seconds(transaction_ts), "yyyy-MM-dd'T'HH") AS HourlyBucket, *
@@ -310,10 +318,10 @@ SELECT topic, value, CAST(year(ts) AS VARCHAR) AS year, CAST(month(ts) AS VARCHA
 FROM topics WHERE topic LIKE 'json%'
 """)
 def archive_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One topic family, values as they are."""
+    """One topic family, values as they are, at most ten in a file."""
     path = run_dir(spark, "archive")
     stream = topics.read_topics(spark, _topics(spark, sf_dir, path), "json.*")
-    finish(archive_topics(stream, f"{path}/json", f"{path}/ck", max_records=100_000))
+    finish(archive_topics(stream, f"{path}/json", f"{path}/ck"))
     schema = "value string, topic string, year string, month string, day string"
     return spark.read.schema(schema).text(f"{path}/json")
 
@@ -326,15 +334,36 @@ SELECT topic, to_base64(encode(value)) AS msg_payload, "partition" AS msg_partit
 FROM topics
 """)
 def archive_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All topics, payload hoisted and metadata inserted."""
+    """All topics by three tasks, payload hoisted and metadata inserted."""
     path = run_dir(spark, "archive")
     stream = topics.read_topics(spark, _topics(spark, sf_dir, path), ".*").transform(
         topics.archive_transform
     )
-    finish(archive_topics(stream, f"{path}/all", f"{path}/ck", hourly=True, max_records=100_000))
+    finish(archive_topics(stream, f"{path}/all", f"{path}/ck", hourly=True, tasks=HOURLY_TASKS))
     schema = "value string, topic string, year string, month string, day string, hour string"
     fields = "msg_payload string, msg_partition int, msg_offset bigint, msg_ts bigint"
     stored = spark.read.schema(schema).text(f"{path}/all")
     return stored.select("topic", F.from_json("value", fields).alias("v"), "day", "hour").select(
         "topic", "v.*", "day", "hour"
     )
+
+
+@query(f"""
+WITH {TOPICS_SQL}
+SELECT topic, value, CAST(year(ts) AS VARCHAR) AS year, CAST(month(ts) AS VARCHAR) AS month,
+       CAST(day(ts) AS VARCHAR) AS day, true AS within
+FROM topics WHERE topic LIKE 'json%'
+""")
+def archive_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive of a stream in several batches, whose buffers were flushed by count and by time.
+
+    ``within`` tells whether a record's file keeps to the number of records.
+    """
+    path = run_dir(spark, "flush")
+    topic_records(spark, sf_dir).repartition(3, "offset").write.parquet(f"{path}/topics")
+    stream = topics.read_topics(spark, f"{path}/topics", "json.*", max_files=1)
+    drain(archive_buffered(stream, f"{path}/json", f"{path}/ck", trigger={"processingTime": "0 seconds"}), FLUSH)
+    schema = "value string, topic string, year string, month string, day string"
+    kept = spark.read.schema(schema).text(f"{path}/json").withColumn("file", F.col("_metadata.file_path"))
+    sizes = kept.groupBy("file").agg((F.count(F.lit(1)) <= FLUSH_RECORDS).alias("within"))
+    return kept.join(sizes, "file").drop("file")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.functions import records
-from tradelake.functions.text import strip
+from tradelake.functions.text import decode_key, output_id, strip
+from tradelake.operators.trades import refine
 from tradelake.schemas import PROCESSED, PROCESSED_PARTITIONS, TRADE_TEXT
 
 
@@ -61,6 +62,27 @@ def write_processed(refined: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def input_id(path: Column) -> Column:
+    """A folder name for an input file: the end of its decoded name, told apart by a digest of its path."""
+    key = decode_key(path)
+    return F.concat_ws("-", F.left(F.md5(key.cast("binary")), F.lit(8)), F.regexp_replace(output_id(key), "[^A-Za-z0-9._-]", "_"))
+
+
+def refine_again(spark: SparkSession, raw: str | list[str], processed: str) -> None:
+    """Refine raw files so that a repeated run replaces what it wrote before.
+
+    Each input has a folder of its own below a symbol's hour, named by :func:`input_id`.
+    Only folders of the inputs of this run are replaced; those of other inputs in the same
+    hours stay. An hour in which a changed input has no trade any more keeps its old ones.
+    A zone that a stream fills must not be written this way.
+    """
+    reader = spark.read.schema("value string").option("recursiveFileLookup", True)
+    lines = reader.text(raw).select("value", input_id(F.col("_metadata.file_path")).alias("input"))
+    refined = refine(parse_raw(lines), "input").hint("rebalance", *PROCESSED_PARTITIONS, "input")
+    writer = refined.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+    writer.partitionBy(*PROCESSED_PARTITIONS, "input").parquet(processed)
+
+
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
     """The processed zone; filters on its path columns prune folders."""
     return spark.read.schema(PROCESSED).parquet(path)

@@ -7,14 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradelake.functions import times
+from tradelake.streaming.buffering import Limits, buffered, start_buffered
 from tradelake.streaming.queries import start
 
-# Records per file and seconds between flushes.
+# Records per file, seconds between flushes, and tasks of the hourly archive.
 FLUSH_RECORDS = 10
+FLUSH_SECONDS = 3
 FLUSH_INTERVAL = {"processingTime": "3 seconds"}
+FLUSH = Limits(FLUSH_SECONDS, FLUSH_RECORDS)
+HOURLY_TASKS = 3
 
 
-def archive_lines(records: DataFrame, hourly: bool = False) -> DataFrame:
+def archive_lines(records: DataFrame, hourly: bool = False, *kept: str) -> DataFrame:
     """One JSON line per record with topic and the record's own time as path parts.
 
     Line breaks in a value become spaces, which mean the same between JSON tokens and are
@@ -26,6 +30,7 @@ def archive_lines(records: DataFrame, hourly: bool = False) -> DataFrame:
         F.coalesce(value, F.lit("null")).alias("value"),
         "topic",
         *[column.alias(name) for name, column in parts.items()],
+        *kept,
     )
 
 
@@ -51,3 +56,28 @@ def archive_topics(
         lines.writeStream.format("text").partitionBy(*names).option("maxRecordsPerFile", max_records)
     )
     return start(writer, path, checkpoint, trigger)
+
+
+def archive_buffered(
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    hourly: bool = False,
+    limits: Limits = FLUSH,
+    tasks: int | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Archive like :func:`archive_topics`, with buffers that last over batches.
+
+    Records of a topic's partition and folder wait until ``limits`` flush them, so that a
+    stream of small batches fills its files too. A topic's partitions have buffers of their
+    own, which spreads a busy topic over tasks.
+    """
+    names = ["topic", *times.PARTS[: 4 if hourly else 3]]
+    kept = records.withColumns({"source_partition": F.col("partition"), "source_offset": F.col("offset")})
+    lines = archive_lines(kept, hourly, "source_partition", "source_offset")
+    full = buffered(lines, [*names, "source_partition"], limits, order="source_offset").drop("source_partition", "source_offset")
+    writer = full.writeStream.format("text").partitionBy(*names)
+    if limits.records:
+        writer = writer.option("maxRecordsPerFile", limits.records)
+    return start_buffered(writer, records.sparkSession, path, checkpoint, tasks, trigger)
