@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tradelake.session import prepare, run_dir, ship_package
-from tradelake.sources.files import hadoop_path
+from tradelake.sources.files import delete_prefix, hadoop_path
 
 #: A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,6 +45,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(table: DataFrame) -> None:
+    """Delete the files of a stored table that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        delete_prefix(spark, folder)
+
+
+def swept(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps: it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_uri(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one, with its scheme, as tasks open it."""
     where, fs = hadoop_path(spark, run_dir(spark, label))

@@ -20,7 +20,8 @@ Null and empty texts and texts without words have no shingles and link with noth
 Rows that repeat an id are nodes by their texts; the component takes the smallest id.
 A null id is passed over in that minimum. Texts of any length are handled whole. An
 empty table gives an empty result. Hashes are taken as the shingles they stand for
-(a wrong match needs two equal 64-bit hashes in a pair).
+(a wrong match needs two equal 64-bit hashes in a pair), and sets are joined by the first
+64 bits of their names: two unequal sets share one with a chance of 2^-64.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import by_batch, components, stored, texts_of
+from tradelake.llm.common import by_batch, components, dropped, stored, swept, texts_of
 
 SHINGLE = 3
 LEAST = 90  # per cent
@@ -141,31 +142,55 @@ def _node(found: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(digest, "<i8").tolist())
 
 
+#: Names of sets that a task remembers, so that copies send their pairs once a task.
+REMEMBERED = 1_000_000
+
+
 def nodes_of(docs: DataFrame, doc_id: str, text: str, least: int, shingle: int = SHINGLE) -> DataFrame:
-    """Per row: ``doc_id, n, node, other`` (a 128-bit name of its set) and its ``pairs``."""
+    """Per row: ``doc_id, n, node, other`` (a 128-bit name of its set) and the set's ``pairs``.
+
+    The pairs are null where a row of the same task had the set before.
+    """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    def run(batch: pa.RecordBatch) -> dict[str, object]:
-        out = []
-        for one, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts_of(batch), shingle)):
-            n = len(found)
-            out.append((one, n, *(_node(found) if n else (None, None)), neighbours(found, least) if n else None))
-        return dict(zip(("doc_id", "n", "node", "other", "pairs"), zip(*out)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for batch in batches:
+            out = []
+            for one, found in zip(batch.column("doc_id").to_pylist(), shingle_sets(texts_of(batch), shingle)):
+                n = len(found)
+                name = _node(found) if n else (None, None)
+                fresh = n > 0 and name not in seen
+                if fresh:
+                    seen.add(name)
+                out.append((one, n, *name, neighbours(found, least) if fresh else None))
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _NODES)], schema=_NODES)
+
+    return rows.mapInArrow(run, "doc_id long, n long, node long, other long, pairs array<long>")
+
 
-    return by_batch(rows, run, "doc_id long, n long, node long, other long, pairs array<long>")
+_NODES = pa.schema([(name, pa.int64()) for name in ("doc_id", "n", "node", "other")] + [("pairs", pa.list_(pa.int64()))])
 
 
-def may_link(nodes: DataFrame, least: int) -> DataFrame:
+def may_link(rows: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     """``node, other, n, doc_id`` of nodes of which enough pairs occur in another node.
 
-    Sets of under ``least / (100 - least)`` shingles only link with equal ones.
+    Sets of under ``least / (100 - least)`` shingles only link with equal ones. Pairs are
+    exchanged once, already aggregated: one that a single node holds names it, and what a
+    node has left when these are taken off occurs elsewhere.
     """
-    each = nodes.where(F.col("n") * (100 - least) >= least).select("node", F.explode("pairs").alias("h"))
-    shared = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h")
+    large = F.col("n") * (100 - least) >= least
+    each = rows.where(large & F.col("pairs").isNotNull()).select("node", F.explode("pairs").alias("h"))
+    alone = each.groupBy("h").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
+    own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    # As many pairs as `neighbours` makes of n hashes.
+    pairs = F.least(F.ceil(2 * (100 - least) * F.col("n") / least) + SPARE, F.col("n")) - 1
     # Two pairs of slack cover the rounding; short sets keep all their pairs.
     enough = F.least(F.lit(SPARE - 2), F.floor((2 * least - 100) * F.col("n") / 100) - 2)
-    counted = each.join(shared, "h").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
-    return nodes.drop("pairs").join(counted, "node").where(F.col("c") >= enough).drop("c")
+    return nodes.where(large).join(own, "node", "left").where(pairs - F.coalesce("own", F.lit(0)) >= enough).drop("own")
 
 
 def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE) -> DataFrame:
@@ -176,15 +201,12 @@ def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str, shingl
     """
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int").alias("spot")
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(FILTER_BITS, bool)
-        for batch in batches:
-            table[batch.column(0).to_numpy()] = True
-        yield pa.RecordBatch.from_pydict({"bits": [np.packbits(table).tobytes()]}, pa.schema([("bits", pa.binary())]))
-
+    words = active.select(spot).groupBy(F.floor(F.col("spot") / 8).cast("int").alias("at")).agg(
+        F.bit_or(F.call_function("shiftright", F.lit(128), F.col("spot") % 8)).alias("bits")
+    )
     table = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in active.select(spot).coalesce(8).mapInArrow(bits, "bits binary").toLocalIterator():
-        table |= np.frombuffer(row.bits, np.uint8)
+    for row in words.toLocalIterator():
+        table[row.at] = row.bits
     shared = docs.sparkSession.sparkContext.broadcast(table)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).select("doc_id", spot, "text")
 
@@ -207,7 +229,8 @@ def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str, shingl
 def rare_places(sets: DataFrame, least: int) -> DataFrame:
     """``h, node, n, place``: the rarest shared shingles of each node, by their place in its order."""
     each = sets.select("node", F.explode("h").alias("h"))
-    held = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    held = stored(each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "held")
+    swept(sets.sparkSession)
     ordered = (
         each.join(held, "h")
         .groupBy("node")
@@ -349,13 +372,22 @@ def components_of(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, tile: int = TILE, shingle: int = SHINGLE
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for each row."""
-    rows = stored(nodes_of(docs, doc_id, text, least, shingle), "sets")
-    nodes = rows.where("node is not null").groupBy("node", "other").agg(
-        F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("pairs").alias("pairs")
+    spark = docs.sparkSession
+    made = stored(nodes_of(docs, doc_id, text, least, shingle), "sets")
+    rows = stored(made.drop("pairs"), "names")
+    nodes = stored(
+        rows.where("node is not null").groupBy("node", "other").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n")), "nodes"
     )
-    active = stored(may_link(nodes, least), "active")
+    active = stored(may_link(made, nodes, least), "active")
+    dropped(made)
+    swept(spark)
     sets = stored(full_sets(docs, active, doc_id, text, shingle), "active-sets")
-    blocks = stored(components(block_edges(stored(rare_places(sets, least), "places"), least), "blocks"), "blocks")
+    swept(spark)
+    places = stored(rare_places(sets, least), "places")
+    swept(spark)
+    blocks = stored(components(block_edges(places, least), "blocks"), "blocks")
+    dropped(places)
+    swept(spark)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         split = group.i.iloc[0] != group.j.iloc[0]
