@@ -93,15 +93,6 @@ def by_batch(
     return df.mapInArrow(run, schema)
 
 
-def with_text(df: DataFrame, keep: list[str], text: str) -> tuple[DataFrame, str, str]:
-    """The columns ``keep`` and the text, its column's name there, and the schema of ``keep``."""
-    kept = df.select(*(F.col(f"`{name}`") for name in keep))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    if text in keep:
-        return kept, text, schema
-    return df.select(*(F.col(f"`{name}`") for name in keep), F.col(f"`{text}`").alias("__text")), "__text", schema
-
-
 def apart(df: DataFrame, keep: list[str], results: list[str], **used: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """Columns under names of their own, so that an operator's names can't clash with them.
 

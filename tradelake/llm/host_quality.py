@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import by_batch, stored, texts_of, with_text
+from tradelake.llm.common import apart, by_batch, kept_schema, stored, texts_of
 
 SPACES = " \t\n\v\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -75,16 +75,19 @@ def measures(text: str) -> tuple[int, int, int, int, int]:
 
 
 def measure(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` of each row with its counts and ``base_failed``."""
-    rows, named, schema = with_text(docs, keep, text)
+    """The columns ``keep`` of each row with its counts and ``base_failed``.
+
+    A kept column with the name of one of these gets ``_in`` behind it.
+    """
+    names = [part.split()[0] for part in MEASURES.split(", ")]
+    rows, named = apart(docs, keep, [*names, "base_failed"], text=text)
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
-        found = list(zip(*map(measures, texts_of(batch, named))))
-        names = [part.split()[0] for part in MEASURES.split(", ")]
-        return {name: batch.column(name) for name in keep} | dict(zip(names, found))
+        found = list(zip(*map(measures, texts_of(batch))))
+        return {name: batch.column(name) for name in batch.schema.names} | dict(zip(names, found))
 
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return by_batch(rows, run, f"{schema}, {MEASURES}").withColumn("base_failed", failed)
+    return named(by_batch(rows, run, kept_schema(rows, MEASURES)).withColumn("base_failed", failed))
 
 
 def host_rates(measured: DataFrame, host: str) -> DataFrame:
@@ -119,13 +122,16 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
 def judge(
     docs: DataFrame, keep: list[str], host: str = "source", text: str = "text", most_failed: float = 0.5
 ) -> DataFrame:
-    """``keep`` columns of each row with counts, ``base_failed``, ``host_rate`` and ``kept``.
+    """``keep`` columns and the host of each row with counts, ``base_failed``, ``host_rate`` and ``kept``.
 
     ``kept`` is false for a document that fails the base rules and for every
-    document of a host whose shrunk failure rate is above ``most_failed``.
+    document of a host whose shrunk failure rate is above ``most_failed``. A kept column
+    with the name of a result gets ``_in`` behind it.
     """
-    columns = list(dict.fromkeys([*keep, host]))
-    measured = stored(measure(docs, columns, text), "measured")
-    rates = host_rates(measured, host).select(F.col("host").alias("__host"), "host_rate")
-    joined = measured.join(stored(rates, "host-rates"), F.col(host).eqNullSafe(F.col("__host")), "left")
-    return joined.drop("__host").withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= most_failed))
+    names = [part.split()[0] for part in MEASURES.split(", ")]
+    rows, named = apart(docs, list(dict.fromkeys([*keep, host])), [*names, "base_failed", "host_rate", "kept"], site=host, text=text)
+    kept = [name for name in rows.columns if name != "text"]
+    measured = stored(measure(rows, kept), "measured")
+    rates = host_rates(measured, "site").select("host", "host_rate")
+    joined = measured.join(stored(rates, "host-rates"), F.col("site").eqNullSafe(F.col("host")), "left")
+    return named(joined.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= most_failed)))

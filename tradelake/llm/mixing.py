@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradelake.llm.common import stored, uniform, word_count
+from tradelake.llm.common import apart, stored, uniform, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUCKETS = 4096
@@ -118,14 +118,18 @@ def mix(
     docs: DataFrame, keep: list[str], doc_id: str = "doc_id", source: str = "source", text: str = "text",
     seed: str = "mix", share: float = 1.5, most: float = 2.0,
 ) -> DataFrame:
-    """``keep`` columns of each row with ``size, source_size, target, copies, taken``."""
+    """``keep`` columns of each row with ``size, source_size, target, copies, taken``.
+
+    A kept column with the name of one of these gets ``_in`` behind it.
+    """
+    results = ["size", "source_size", "target", "copies", "taken"]
+    rows, named = apart(docs, keep, results, key=source, name=doc_id, text=text)
     sources = plan(docs, doc_id, source, text, seed, share, most).withColumnRenamed("source", "__source")
-    u = uniform(F.lit(seed), F.col(doc_id).cast("string"))
-    more = (F.col("chance") > 0) & (rank(F.col("__u"), F.col("chance")) <= F.col("cut"))
-    return (
-        docs.select(*keep, F.col(source).alias("__key"), word_count(F.col(text)).alias("size"), u.alias("__u"))
-        .join(sources, F.col("__key").eqNullSafe(F.col("__source")))
+    u = uniform(F.lit(seed), F.col("name").cast("string"))
+    more = (F.col("chance") > 0) & (rank(F.col("u"), F.col("chance")) <= F.col("cut"))
+    return named(
+        rows.withColumns({"size": word_count(F.col("text")), "u": u}).drop("name", "text")
+        .join(sources, F.col("key").eqNullSafe(F.col("__source")))
         .withColumn("copies", F.col("whole") + more.cast("long"))
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .select(*keep, "size", "source_size", "target", "copies", "taken")
     )

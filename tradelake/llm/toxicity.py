@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import by_batch, texts_of, with_text
+from tradelake.llm.common import apart, by_batch, kept_schema, texts_of
 
 SIZES = (3, 4, 5, 6)
 TABLE_BITS = 20
@@ -164,15 +164,18 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns of each row with ``score``; the model has a fixed size and is broadcast."""
+    """``keep`` columns of each row with ``score``; the model has a fixed size and is broadcast.
+
+    A kept column named ``score`` is called ``score_in`` in the result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights, model.intercept))
-    rows, named, schema = with_text(docs, keep, text)
+    rows, named = apart(docs, keep, ["score"], text=text)
     held: dict[str, Model] = {}
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
         if "model" not in held:
             held["model"] = Model(*shared.value)
-        texts, out, part, size = texts_of(batch, named), [], [], 0
+        texts, out, part, size = texts_of(batch), [], [], 0
         for one in [*texts, None]:  # about a megabyte at a time
             if part and (one is None or size > 1_000_000):
                 out.append(held["model"].scores(part))
@@ -180,6 +183,6 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") ->
             if one is not None:
                 part.append(one)
                 size += len(one)
-        return {name: batch.column(name) for name in keep} | {"score": np.concatenate(out)}
+        return {name: batch.column(name) for name in batch.schema.names} | {"score": np.concatenate(out)}
 
-    return by_batch(rows, run, f"{schema}, score double")
+    return named(by_batch(rows, run, kept_schema(rows, "score double")))
