@@ -7,6 +7,7 @@ import os
 import re
 import struct
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -45,11 +46,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dropped(table: DataFrame) -> None:
-    """Delete the files of a stored table that nothing reads any more."""
-    spark = table.sparkSession
-    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-        delete_prefix(spark, folder)
+@contextmanager
+def larger_batches(spark: SparkSession, rows: int = 50_000) -> Iterator[None]:
+    """Arrow batches of many rows, for steps whose rows hold a few numbers each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete the files of stored tables that nothing reads any more."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            delete_prefix(table.sparkSession, folder)
 
 
 def swept(spark: SparkSession) -> None:
@@ -299,7 +312,9 @@ def components(edges: DataFrame, label: str = "components", most_rounds: int = 6
         # Smaller neighbours and the node itself go to the smallest of them.
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        before = now
         now, after = signed(small.union(lower.select("a", F.col("m").alias("b"))))
+        dropped(before)
         if after == mark:
             break
         mark = after

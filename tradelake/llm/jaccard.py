@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import by_batch, components, dropped, stored, swept, texts_of
+from tradelake.llm.common import by_batch, components, dropped, larger_batches, stored, swept, texts_of
 
 SHINGLE = 3
 LEAST = 90  # per cent
@@ -120,8 +120,9 @@ def overlap(n: int, m: int, least: int = LEAST) -> int:
     return -(-least * (n + m) // (100 + least))
 
 
-#: Neighbouring pairs that linked sets share at least, but for one.
-SPARE = 10
+#: Neighbouring pairs that linked sets share at least, but for one. The more there are, the
+#: fewer sets that share a passage only pass the filter, and the more pairs it has to count.
+SPARE = 60
 
 
 def neighbours(found: np.ndarray, least: int = LEAST) -> np.ndarray:
@@ -179,18 +180,37 @@ def may_link(rows: DataFrame, nodes: DataFrame, least: int) -> DataFrame:
     """``node, other, n, doc_id`` of nodes of which enough pairs occur in another node.
 
     Sets of under ``least / (100 - least)`` shingles only link with equal ones. Pairs are
-    exchanged once, already aggregated: one that a single node holds names it, and what a
-    node has left when these are taken off occurs elsewhere.
+    exchanged once; sorted by their hash, those of other nodes follow each other, and a
+    task remembers no more than the last hash, whether it was met twice, and its node.
     """
     large = F.col("n") * (100 - least) >= least
-    each = rows.where(large & F.col("pairs").isNotNull()).select("node", F.explode("pairs").alias("h"))
-    alone = each.groupBy("h").agg(F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
-    own = alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    # As many pairs as `neighbours` makes of n hashes.
-    pairs = F.least(F.ceil(2 * (100 - least) * F.col("n") / least) + SPARE, F.col("n")) - 1
+    each = rows.where(large & F.col("pairs").isNotNull()).select(F.explode("pairs").alias("h"), "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: tuple[int, int, bool] | None = None  # hash, its latest node, whether it has an earlier one
+        for batch in batches:
+            h, node = (batch.column(k).to_numpy() for k in (0, 1))
+            if not len(h):
+                continue
+            fresh = np.r_[last is None or (h[0], node[0]) != last[:2], (h[1:] != h[:-1]) | (node[1:] != node[:-1])]
+            h, node = h[fresh], node[fresh]
+            if not len(h):
+                continue
+            follows = np.r_[last is not None and h[0] == last[0], h[1:] == h[:-1]]
+            # A node counts when one of its hash goes before or comes behind; that of the last row is yet open.
+            counted = follows | np.r_[follows[1:], False]
+            out = [node[counted]]
+            if last is not None and follows[0] and not last[2]:
+                out.append(np.array([last[1]], np.int64))
+            last = (int(h[-1]), int(node[-1]), bool(counted[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out))], names=["node"])
+
+    ordered = each.repartition("h").sortWithinPartitions("h", "node")
+    with larger_batches(rows.sparkSession):
+        found = stored(ordered.mapInArrow(run, "node long").groupBy("node").agg(F.count(F.lit(1)).alias("shared")), "shared")
     # Two pairs of slack cover the rounding; short sets keep all their pairs.
     enough = F.least(F.lit(SPARE - 2), F.floor((2 * least - 100) * F.col("n") / 100) - 2)
-    return nodes.where(large).join(own, "node", "left").where(pairs - F.coalesce("own", F.lit(0)) >= enough).drop("own")
+    return nodes.where(large).join(found, "node").where(F.col("shared") >= enough).drop("shared")
 
 
 def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE) -> DataFrame:
@@ -230,7 +250,6 @@ def rare_places(sets: DataFrame, least: int) -> DataFrame:
     """``h, node, n, place``: the rarest shared shingles of each node, by their place in its order."""
     each = sets.select("node", F.explode("h").alias("h"))
     held = stored(each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "held")
-    swept(sets.sparkSession)
     ordered = (
         each.join(held, "h")
         .groupBy("node")
@@ -382,11 +401,11 @@ def components_of(
     dropped(made)
     swept(spark)
     sets = stored(full_sets(docs, active, doc_id, text, shingle), "active-sets")
-    swept(spark)
     places = stored(rare_places(sets, least), "places")
     swept(spark)
-    blocks = stored(components(block_edges(places, least), "blocks"), "blocks")
-    dropped(places)
+    edges = components(block_edges(places, least), "blocks")
+    blocks = stored(edges, "blocks")
+    dropped(edges, places, active)
     swept(spark)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -408,6 +427,8 @@ def components_of(
         .select(F.col("node").alias("a"), F.col("other").alias("b"), "component_id"),
         "node-components",
     )
+    dropped(sets, blocks, links, roots, least_id, nodes)
+    swept(spark)
     return rows.join(by_node, (F.col("node") == F.col("a")) & (F.col("other") == F.col("b")), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )

@@ -27,8 +27,9 @@ SIZES = (3, 4, 5, 6)
 TABLE_BITS = 20
 #: Labelled rows learnt from, per class; the only bound on what is learnt from.
 SAMPLE_PER_CLASS = 2000
-#: Features kept, by the weight of evidence for a class.
-FEATURES = 6000
+#: Features learnt, those with the most evidence for a class, and documents that a feature needs.
+FEATURES: int | None = 6000
+LEAST_DOCUMENTS = 5
 THRESHOLD = 0.7
 
 
@@ -80,7 +81,7 @@ class Model:
     intercept: float
 
     def __post_init__(self) -> None:
-        self.place = np.full(1 << TABLE_BITS, -1, np.int16)
+        self.place = np.full(1 << TABLE_BITS, -1, np.int32)
         self.place[self.features] = np.arange(len(self.features))
 
     def scores(self, texts: list[str]) -> np.ndarray:
@@ -97,8 +98,15 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(sums + self.intercept, -35, 35)))
 
 
-def fit(labels: np.ndarray, weights: np.ndarray, documents: list[np.ndarray], rounds: int = 400, decay: float = 2e-4) -> Model:
-    """Scale features by their log-count ratios and train a logistic regression on them."""
+def fit(
+    labels: np.ndarray, weights: np.ndarray, documents: list[np.ndarray], rounds: int = 400, decay: float = 2e-4,
+    features: int | None = FEATURES, least: int = LEAST_DOCUMENTS,
+) -> Model:
+    """Scale features by their log-count ratios and train a logistic regression on them.
+
+    Learnt are the ``features`` with the most evidence, or all if that is None, out of those
+    that ``least`` documents have.
+    """
     if not (labels == 1).any() or not (labels == 0).any():
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0)
     size = 1 << TABLE_BITS
@@ -109,8 +117,8 @@ def fit(labels: np.ndarray, weights: np.ndarray, documents: list[np.ndarray], ro
     # Smoothed chance of a feature in a document of each class, and the log of their ratio.
     ratio = np.log((toxic + 1) / ((labels == 1).sum() + 2)) - np.log((clean + 1) / ((labels == 0).sum() + 2))
     evidence = np.abs(ratio) * np.sqrt(toxic + clean)
-    evidence[toxic + clean < 5] = 0
-    kept = np.sort(np.argsort(-evidence, kind="stable")[:FEATURES])
+    evidence[toxic + clean < least] = 0
+    kept = np.sort(np.argsort(-evidence, kind="stable")[:features])
     kept = kept[evidence[kept] > 0]
     place = np.full(size, -1, np.int64)
     place[kept] = np.arange(len(kept))
