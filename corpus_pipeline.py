@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.llm import host_quality, jaccard, mixing, packing, toxicity
-from tradelake.llm.common import session, stored
+from tradelake.llm.common import session, stored, swept
 
 #: SQL can't express the trained classifier, so there is none for the whole.
 ORACLE_SQL = None
@@ -22,7 +22,11 @@ SHINGLE, LEAST = 5, 80
 
 
 def _neutral(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
-    """The documents with numbered columns, and each column's number by name."""
+    """The documents with numbered columns, and each column's number by name.
+
+    The stage before has ended, and its shuffle files may go.
+    """
+    swept(docs.sparkSession)
     names = {name: f"c{k}" for k, name in enumerate(docs.columns)}
     return docs.toDF(*names.values()), names
 
@@ -77,6 +81,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the sequences that the documents fill."""
     session(spark)
+    swept(spark)
     return packing.pack(docs)
 
 
