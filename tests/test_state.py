@@ -13,6 +13,7 @@ from conftest import SF, plan_of
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradelake.functions import records
 from tradelake.operators.trades import refine
 from tradelake.plans.inputs import messages, topic_records, trades
 from tradelake.schemas import TRADE
@@ -20,7 +21,7 @@ from tradelake.sources import catalog, topics
 from tradelake.sources import log as logs
 from tradelake.sources.crawl import crawl_changes, merged, widened
 from tradelake.sources.footers import column_bytes, count_from_footers, write_for_lookup
-from tradelake.sources.trades import parse_raw, read_raw, refine_again
+from tradelake.sources.trades import parse_raw, read_raw, refine_again, typed_records
 from tradelake.streaming.archive import archive_buffered
 from tradelake.streaming.buffering import Limits, buffered, drain
 from tradelake.streaming.delivery import deliver, deliver_buffered, deliver_together, once
@@ -164,6 +165,20 @@ def test_both_zones_out_of_one_check(spark, folder):
     assert run("ck2") == (150, 50)
 
 
+def test_landed_records_keep_all_number_rules(spark, folder):
+    """Fields of any type come back as the text's own parse gives them, and no text is parsed again."""
+    odd = ["1", '"12"', "1.7", "true", '" 3 "', '"1e3"', "1e400", "0.1", "12345678901234567890", '"nan"', "null", "[1]", '{"a":1}', '"x"']
+    rows = [(f'{{"transaction_ts": {a}, "symbol": {b}, "price": {b}, "amount": {a}, "dollar_amount": {b}, "type": {a}, "trans_id": {b}, "more": 1}}',) for a in odd for b in odd]
+    rows += [('{"symbol": "A", "symbol": "B", "price": 1}',)]
+    lines = spark.createDataFrame(rows, "value string")
+    lines.coalesce(2).withColumn("record", records.trade_record(records.trade_fields(F.col("value")))).write.parquet(f"{folder}/landed")
+    landed = typed_records(spark.read.parquet(f"{folder}/landed").select("record"))
+    want = parse_raw(lines)
+    assert sorted(map(str, landed.collect())) == sorted(map(str, want.collect()))
+    plan = plan_of(landed)
+    assert "from_json" not in plan and "value#" not in plan and "from_json" in plan_of(want)
+
+
 @pytest.mark.parametrize(
     ("a", "b", "both"),
     [

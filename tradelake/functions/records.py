@@ -131,3 +131,13 @@ def typed_trade(fields: Column) -> list[Column]:
         else F.try_variant_get(fields[name], "$", "string").alias(name)
         for name in TRADE.names
     ]
+
+
+def trade_record(fields: Column) -> Column:
+    """The trade fields as one variant object, whatever types their values have."""
+    return F.to_variant_object(F.struct(*(fields[name].alias(name) for name in TRADE.names)))
+
+
+def record_fields(record: Column) -> Column:
+    """The fields of :func:`trade_record` again, without any text being parsed."""
+    return F.struct(*(F.try_variant_get(record, f"$.{name}", "variant").alias(name) for name in TRADE.names))

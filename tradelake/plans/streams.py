@@ -15,12 +15,13 @@ from tradelake.session import run_dir
 from tradelake.sources import catalog
 from tradelake.sources import log as logs
 from tradelake.sources.crawl import crawl_changes
-from tradelake.sources.trades import read_raw, refine_again
+from tradelake.sources.trades import read_processed, read_raw, refine_again
 from tradelake.streaming.buffering import Limits, drain
-from tradelake.streaming.delivery import deliver, deliver_buffered, deliver_together
+from tradelake.streaming.delivery import deliver, deliver_buffered, deliver_records, deliver_together
 from tradelake.streaming.hourly import late_trades, top_stream
 from tradelake.streaming.log import read_stream
 from tradelake.streaming.queries import finish
+from tradelake.streaming.refining import refine_records
 
 # Trades come in three parts of ten days. Of the first part some come with the last one only.
 PARTS_SQL = f"""
@@ -103,6 +104,16 @@ def refine_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{path}/processed").select(*(F.col(f.name).cast(f.dataType) for f in PROCESSED.fields))
 
 
+@query(f"WITH {SOUND_SQL} {REFINED_SQL} FROM sound")
+def refine_landed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed zone out of records landed as shredded variants."""
+    path = run_dir(spark, "records")
+    logs.write_stream_log(messages(spark, sf_dir), f"{path}/log", SHARDS)
+    finish(deliver_records(read_stream(spark, f"{path}/log"), f"{path}/landed", f"{path}/ck"))
+    finish(refine_records(spark, f"{path}/landed", f"{path}/processed", f"{path}/ck2"))
+    return read_processed(spark, f"{path}/processed")
+
+
 @query(f"""
 WITH {TRADES_SQL}, checked AS (SELECT *, {REASON_SQL} AS reason FROM trades)
 SELECT coalesce(reason, 'good') AS reason, {ARRIVAL_SQL.format('%d')} AS day,

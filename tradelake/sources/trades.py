@@ -42,6 +42,13 @@ def parse_raw(df: DataFrame, value: str = "value") -> DataFrame:
     return parsed.select(trade, *kept)
 
 
+def typed_records(df: DataFrame, record: str = "record") -> DataFrame:
+    """Landed records to typed trades, by the number rules the check used; no text is parsed again."""
+    kept = [name for name in df.columns if name != record and name not in TRADE_TEXT.names]
+    parsed = df.withColumn("_fields", records.record_fields(F.col(record)))
+    return parsed.select(F.inline(F.array(F.struct(*records.typed_trade(F.col("_fields"))))), *kept)
+
+
 def read_raw(spark: SparkSession, path: str, parts: str = "") -> DataFrame:
     """The raw zone as typed trades. ``parts`` names path columns, such as ``month string``."""
     schema = "value string" + (f", {parts}" if parts else "")

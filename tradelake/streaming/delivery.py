@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradelake.functions import times
+from tradelake.functions import records, times
 from tradelake.functions.text import decode_base64, decode_utf8
 from tradelake.operators.validation import FAILED, OK, mark, route
 from tradelake.streaming.buffering import Limits, buffered, start_buffered
@@ -133,3 +133,16 @@ def _replace(rows: DataFrame, path: str, parts: list[str], number: int, fmt: str
     gathered = rows.withColumn("batch", F.lit(number).cast("bigint")).hint("rebalance", *parts)
     writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts, "batch").format(fmt).save(path)
+
+
+def deliver_records(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Land good records as Parquet: the raw line and, shredded into typed columns, its trade fields.
+
+    Spark infers the columns of the variant ``record`` from each file's values, so that a
+    reader takes the fields it asks for without parsing; a value of another type than its
+    column's stays in the file as it is. Folders are those of the raw zone.
+    """
+    good, _ = route(stream)
+    lines = raw_lines(good).withColumn("record", records.trade_record(records.trade_fields(F.col("value"))))
+    writer = lines.hint("rebalance", *RAW_PARTITIONS).writeStream.format("parquet").partitionBy(*RAW_PARTITIONS)
+    return start(writer, path, checkpoint, trigger)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tradelake.functions import times
 from tradelake.operators.trades import refine, unrefinable
 from tradelake.schemas import PROCESSED_PARTITIONS
-from tradelake.sources.trades import parse_raw
+from tradelake.sources.trades import parse_raw, typed_records
 from tradelake.streaming.queries import start
 
 
@@ -71,3 +71,15 @@ def reject_stream(
     rejected = unrefinable(stream_raw_files(spark, raw, max_files, max_bytes)).select("raw_line")
     writer = rejected.select(F.to_json(F.struct("raw_line")).alias("value")).writeStream.format("text")
     return start(writer, errors, checkpoint, trigger)
+
+
+def refine_records(
+    spark: SparkSession, landed: str, processed: str, checkpoint: str, trigger: dict | None = None, max_files: int | None = None
+) -> StreamingQuery:
+    """Refine records that :func:`tradelake.streaming.delivery.deliver_records` landed, out of their typed columns."""
+    reader = spark.readStream.schema("record variant")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    refined = refine(typed_records(reader.parquet(landed).select("record"))).hint("rebalance", *PROCESSED_PARTITIONS)
+    writer = refined.writeStream.format("parquet").partitionBy(*PROCESSED_PARTITIONS).option("compression", "snappy")
+    return start(writer, processed, checkpoint, trigger)
