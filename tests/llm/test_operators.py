@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -195,6 +196,42 @@ def test_mix(spark, docs):
 # --- licenses --------------------------------------------------------------
 
 
+def brute_licenses(rows):
+    """Documents in which some stretch of twice a notice's length on both sides of a word holds 80 per cent of its shingles."""
+    out = set()
+    cut = lambda text: re.findall(r"[^\W_]+", (text or "").lower())
+    for name, notice in licenses.TEMPLATES.items():
+        words = cut(notice)
+        wanted = {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+        for one, text in rows:
+            found = cut(text)
+            places = [i for i in range(len(found) - 4) if tuple(found[i : i + 5]) in wanted]
+            for at in places:
+                near = {tuple(found[i : i + 5]) for i in places if abs(i - at) <= 2 * len(words)}
+                if len(near) >= licenses.LEAST * len(wanted):
+                    out.add((one, name))
+    return out
+
+
+def test_license_scan_equals_brute_force(spark):
+    draw = random.Random(8)
+    rows = [(None, "nothing here"), (None, "x " * 9 + licenses.TEMPLATES["mit"] + " y"), (1, None), (2, "")]
+    for k in range(3, 400):
+        words = [f"w{draw.randrange(99)}" for _ in range(draw.randrange(60))]
+        for _ in range(draw.randrange(3)):
+            notice = draw.choice(list(licenses.TEMPLATES.values())).split()
+            for _ in range(draw.choice([0, 0, 1, 1, 2, 5])):  # edited words
+                notice[draw.randrange(len(notice))] = f"edit{draw.random()}"
+            at = draw.randrange(len(words) + 1)
+            words[at:at] = notice
+        rows.append((k, " ".join(words)))
+    table = spark.createDataFrame([(*row, 1, "x") for row in rows], "doc_id long, text string, at int, license_id string")
+    found = licenses.scan(table.repartition(4), licenses.templates(spark)).collect()
+    assert {(r.doc_id, r.license_id) for r in found} == brute_licenses(rows)
+    assert len(found) == len({(r.doc_id, r.license_id) for r in found})
+    assert all(r.containment == r.n_found / r.n_shingles for r in found)
+
+
 def test_license_scan(spark):
     filler = " ".join(f"word{k}" for k in range(40))
     texts = dict(enumerate([None, "", "short", filler] + [f"{filler} {'pad ' * k}{t} {filler}" for k in range(3) for t in licenses.TEMPLATES.values()]))

@@ -5,15 +5,16 @@ in a row. Windows of six words begin at every second word, so that each shingle
 one of them; each window's two shingles give one minimum for each of eight hash
 functions, and each minimum is a band of its own. Templates are cut into the same
 windows at every word. A passage that repeats seven words or more of a template holds
-a window with equal shingles and collides in every band; a template of one shingle
-shares half of a window's shingles and is missed with a chance below 2 ** -8 a passage.
+a window with equal shingles and collides in every band. A template of one shingle shares
+at most half of a window's, so windows that hold its shingle are candidates without a band.
 
 A candidate is then checked exactly: the share of the template's shingles that occur in
 the document near the colliding window has to reach ``least``.
 
 Null and short texts match nothing, as do templates of under five words. Rows with the
-same id are one document to this operator. An empty table gives an empty result.
-Everything runs on DataFrame functions.
+same id are one document to this operator, and so are all rows without one. Texts of any
+length are scanned whole. An empty table gives an empty result, and further columns play no
+part. Everything runs on DataFrame functions.
 """
 
 from __future__ import annotations
@@ -109,22 +110,28 @@ def scan(
     spark = docs.sparkSession
     notices = stored(known.select("license_id", words(F.col("text")).alias("w")), "notices")
     bands = [band(F.col("first"), F.col("second"), n) for n in range(BANDS)]
+    cut = windows(notices, "license_id", F.col("w"), 1)
+    # The first shingle stands for a notice that has no other; its band has a number of its own.
+    short = cut.join(cut.groupBy("license_id").agg(F.count(F.lit(1)).alias("c")).where("c = 1"), "license_id")
     of_notices = (
-        windows(notices, "license_id", F.col("w"), 1)
+        cut
         .select("license_id", F.explode(F.array(*[F.struct(F.lit(n).alias("band"), b.alias("value")) for n, b in enumerate(bands)])).alias("b"))
         .select("license_id", "b.band", "b.value")
+        .unionByName(short.select("license_id", F.lit(BANDS).alias("band"), F.col("first").alias("value")))
         .distinct()
     )
     listed = of_notices.collect()  # a few values for each word of the notices
-    values = [sorted({r.value for r in listed if r.band == n}) for n in range(BANDS)]
-    hits = [b.isin(v) if v else F.lit(False) for b, v in zip(bands, values)]
+    # Of a document's window the two shingles themselves are looked up beside its bands.
+    looked = [*enumerate(bands), (BANDS, F.col("first")), (BANDS, F.coalesce("second", "first"))]
+    values = [sorted({r.value for r in listed if r.band == n}) for n in range(BANDS + 1)]
+    hits = [b.isin(values[n]) if values[n] else F.lit(False) for n, b in looked]
     any_hit = hits[0]
     for hit in hits[1:]:
         any_hit = any_hit | hit
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = windows(rows, "doc_id", words(F.col("text")), 2).where(any_hit)
     near = stored(
-        found.select("doc_id", "at", F.explode(F.array(*[F.struct(F.lit(n).alias("band"), b.alias("value")) for n, b in enumerate(bands)])).alias("b"))
+        found.select("doc_id", "at", F.explode(F.array(*[F.struct(F.lit(n).alias("band"), b.alias("value")) for n, b in looked])).alias("b"))
         .select("doc_id", "at", "b.band", "b.value")
         .join(F.broadcast(spark.createDataFrame(listed, of_notices.schema)), ["band", "value"])
         .select("doc_id", "license_id", "at")
@@ -138,7 +145,8 @@ def scan(
         F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - (SHINGLE - 1)), lambda i: F.concat_ws(" ", F.slice("w", i, SHINGLE)))).alias("wanted"),
         F.size("w").alias("length"),
     ).where(F.size("w") >= SHINGLE)
-    marked = rows.join(asked, "doc_id").select("doc_id", "license_id", "places", once(words(F.col("text"))).alias("w"))
+    asked = asked.withColumnRenamed("doc_id", "asked")
+    marked = rows.join(asked, F.col("doc_id").eqNullSafe(F.col("asked"))).select("doc_id", "license_id", "places", once(words(F.col("text"))).alias("w"))
     reach = F.col("length") * 2
     share = F.transform(
         "places",
