@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -135,6 +136,47 @@ def kept_schema(rows: DataFrame, *results: str) -> str:
     return ", ".join([*kept, *results])
 
 
+#: Bits of a table of ids that every task is given: 2 MB.
+TABLE_BITS = 1 << 24
+
+
+def spot_of(key: Column) -> Column:
+    """An id's place in a bit table."""
+    return F.pmod(F.xxhash64(key), F.lit(TABLE_BITS)).cast("int")
+
+
+def bit_table(ids: DataFrame) -> np.ndarray:
+    """A table of fixed size with the bits of all ids set; ids are the only column."""
+    each = ids.select(spot_of(F.col(ids.columns[0])).alias("spot"))
+    bit = F.call_function("shiftright", F.lit(128), F.col("spot") % 8)
+    octets = each.groupBy(F.floor(F.col("spot") / 8).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits"))
+    table = np.zeros(TABLE_BITS // 8, np.uint8)
+    for row in octets.toLocalIterator():
+        table[row.at] = row.bits
+    return table
+
+
+def bits_set(table: np.ndarray, spots: np.ndarray) -> np.ndarray:
+    """Which of the places are set."""
+    return (table[spots // 8] >> (7 - spots % 8).astype(np.uint8) & 1).astype(bool)
+
+
+def parted(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is surely not among the ids, and those that may be.
+
+    A join with the ids then has to exchange the second only. The look-up takes the key to
+    Python and leaves the other columns where they are.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(bit_table(ids))
+
+    @F.pandas_udf("boolean")
+    def held(spots: pd.Series) -> pd.Series:
+        return pd.Series(bits_set(shared.value, spots.to_numpy()))
+
+    asked = rows.withColumn("__held", held(spot_of(F.col(key))))
+    return asked.where(~F.col("__held")).drop("__held"), asked.where("__held").drop("__held")
+
+
 def placed(df: DataFrame, group: list[str], order: list[Column], label: str) -> DataFrame:
     """The rows with their ``place`` in their group, from 0 in the given order, and its ``total``.
 

@@ -39,14 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.common import by_batch, components, dropped, larger_batches, stored, swept, texts_of
+from tradelake.llm.common import bit_table, bits_set, by_batch, components, dropped, larger_batches, spot_of, stored, swept, texts_of
 
 SHINGLE = 3
 LEAST = 90  # per cent
 #: Documents of a block that one task indexes; larger blocks are tiled.
 TILE = 2000
-#: Bits of the filter that spares the second scan the texts of dropped nodes.
-FILTER_BITS = 1 << 24
 #: Weight of a heap step against a binary probe in the choice of the long lists.
 PROBE_COST = 0.0085
 
@@ -219,20 +217,12 @@ def full_sets(docs: DataFrame, active: DataFrame, doc_id: str, text: str, shingl
     A bit table of fixed size, set at the ids of the active nodes, lets the scan pass
     over most other texts; the join makes the choice exact.
     """
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int").alias("spot")
-
-    words = active.select(spot).groupBy(F.floor(F.col("spot") / 8).cast("int").alias("at")).agg(
-        F.bit_or(F.call_function("shiftright", F.lit(128), F.col("spot") % 8)).alias("bits")
-    )
-    table = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in words.toLocalIterator():
-        table[row.at] = row.bits
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+    shared = docs.sparkSession.sparkContext.broadcast(bit_table(active.select("doc_id")))
+    spot = spot_of(F.col("doc_id")).alias("spot")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).select("doc_id", spot, "text")
 
     def run(batch: pa.RecordBatch) -> dict[str, object] | None:
-        spots = batch.column("spot").to_numpy()
-        hit = np.flatnonzero(shared.value[spots // 8] >> (7 - spots % 8).astype(np.uint8) & 1)
+        hit = np.flatnonzero(bits_set(shared.value, batch.column("spot").to_numpy()))
         if not len(hit):
             return None
         chosen = batch.take(pa.array(hit))
