@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.llm import host_quality, jaccard, mixing, packing, toxicity
-from tradelake.llm.common import session, stored, swept
+from tradelake.llm.common import parted, session, stored, swept
 
 #: SQL can't express the trained classifier, so there is none for the whole.
 ORACLE_SQL = None
@@ -62,12 +62,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows, at = _neutral(docs)
     doc_id, text = at["doc_id"], at["text"]
     found = stored(jaccard.components_of(rows, doc_id, text, LEAST, shingle=SHINGLE), "classes")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    kept = rows.join(gone, F.col(doc_id) == F.col("gone"), "left_anti")
+    gone = stored(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
     again = stored(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("again")), "again")
+    # Only rows that may be in one of these lists are joined with them.
+    clear, asked = parted(rows, doc_id, gone.select("gone").union(again))
+    asked = stored(asked, "asked")
+    kept = asked.join(gone, F.col(doc_id) == F.col("gone"), "left_anti")
     once = kept.join(again, F.col(doc_id) == F.col("again"), "left_anti")
     repeated = kept.join(again, F.col(doc_id) == F.col("again"), "left_semi").dropDuplicates([doc_id, text])
-    return _restored(once.unionByName(repeated), at)
+    return _restored(clear.unionByName(once).unionByName(repeated), at)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
