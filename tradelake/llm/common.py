@@ -320,14 +320,15 @@ def _latin(text: str) -> bool:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str | None) -> Encoder:
-    """The encoder of this worker for a vocabulary file; it outlives a task."""
+def encoder(path: str | None, limit: int = 1_000_000) -> Encoder:
+    """The encoder of this worker for a vocabulary file; it outlives a task and remembers ``limit`` chunks."""
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].limit = limit
     return _ENCODERS[path]
 
 

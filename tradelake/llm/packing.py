@@ -132,13 +132,13 @@ def cut_points(tokens: int) -> np.ndarray:
     return full + np.cumsum([0, *steps])
 
 
-def pieces(docs: DataFrame, doc_id: str, text: str, tokenizer: str | None, end_id: int) -> DataFrame:
+def pieces(docs: DataFrame, doc_id: str, text: str, tokenizer: str | None, end_id: int, remembered: int) -> DataFrame:
     """The pieces of all documents with their checksums; ids of pieces that may be cut are kept."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     counted: dict[int, int] = {}
 
     def run(batch: pa.RecordBatch) -> dict[str, object]:
-        coder = encoder(tokenizer)
+        coder = encoder(tokenizer, remembered)
         small = max(coder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16
         context = TaskContext.get()
         number = counted.get(context.taskAttemptId(), 0)
@@ -159,7 +159,10 @@ def pieces(docs: DataFrame, doc_id: str, text: str, tokenizer: str | None, end_i
     return by_batch(rows, run, PIECES)
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
+def pack(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str | None = None, end_id: int = 2,
+    remembered: int = 1_000_000,
+) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` of every piece.
 
     Pieces get their slot within a bin from counts by bin and salt, so that a bin with a
@@ -167,7 +170,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer:
     """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = stored(pieces(docs, doc_id, text, tokenizer, end_id), "pieces")
+    cut = stored(pieces(docs, doc_id, text, tokenizer, end_id, remembered), "pieces")
     size = F.ceil(F.col("length") / GRAIN).cast("int")
     light = cut.drop("ids").withColumn("bin", size).withColumn("salt", F.pmod(F.xxhash64("piece"), F.lit(4 * tasks)).cast("int"))
     groups = stored(light.groupBy("bin", "salt").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
