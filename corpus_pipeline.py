@@ -20,6 +20,9 @@ ORACLE_SQL = None
 #: Words of a shingle and least similarity, per cent, of the near-duplicate stage; op10's query has its own.
 SHINGLE, LEAST = 5, 80
 
+#: Chunks whose ids a worker remembers while it packs: fewer than alone, as it holds the earlier stages' memory.
+REMEMBERED = 300_000
+
 
 def _neutral(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """The documents with numbered columns, and each column's number by name.
@@ -85,7 +88,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """The pieces of the sequences that the documents fill."""
     session(spark)
     swept(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, remembered=REMEMBERED)
 
 
 STAGES = [
