@@ -23,7 +23,7 @@ from tradelake.sources import catalog, topics
 from tradelake.sources import log as logs
 from tradelake.sources.files import reset_table
 from tradelake.sources.trades import read_processed, read_raw
-from tradelake.streaming.archive import FLUSH, FLUSH_RECORDS, HOURLY_TASKS, archive_buffered, archive_topics
+from tradelake.streaming.archive import FLUSH, FLUSH_RECORDS, HOURLY_TASKS, archive_buffered, archive_topics, read_archive
 from tradelake.streaming.buffering import drain
 from tradelake.streaming.delivery import deliver
 from tradelake.streaming.log import LATEST, read_stream
@@ -322,8 +322,7 @@ def archive_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "archive")
     stream = topics.read_topics(spark, _topics(spark, sf_dir, path), "json.*")
     finish(archive_topics(stream, f"{path}/json", f"{path}/ck"))
-    schema = "value string, topic string, year string, month string, day string"
-    return spark.read.schema(schema).text(f"{path}/json")
+    return read_archive(spark, f"{path}/json").drop("file")
 
 
 @query(f"""
@@ -340,9 +339,8 @@ def archive_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         topics.archive_transform
     )
     finish(archive_topics(stream, f"{path}/all", f"{path}/ck", hourly=True, tasks=HOURLY_TASKS))
-    schema = "value string, topic string, year string, month string, day string, hour string"
     fields = "msg_payload string, msg_partition int, msg_offset bigint, msg_ts bigint"
-    stored = spark.read.schema(schema).text(f"{path}/all")
+    stored = read_archive(spark, f"{path}/all", hourly=True)
     return stored.select("topic", F.from_json("value", fields).alias("v"), "day", "hour").select(
         "topic", "v.*", "day", "hour"
     )
@@ -363,7 +361,6 @@ def archive_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic_records(spark, sf_dir).repartition(3, "offset").write.parquet(f"{path}/topics")
     stream = topics.read_topics(spark, f"{path}/topics", "json.*", max_files=1)
     drain(archive_buffered(stream, f"{path}/json", f"{path}/ck", trigger={"processingTime": "0 seconds"}), FLUSH)
-    schema = "value string, topic string, year string, month string, day string"
-    kept = spark.read.schema(schema).text(f"{path}/json").withColumn("file", F.col("_metadata.file_path"))
+    kept = read_archive(spark, f"{path}/json")
     sizes = kept.groupBy("file").agg((F.count(F.lit(1)) <= FLUSH_RECORDS).alias("within"))
     return kept.join(sizes, "file").drop("file")
