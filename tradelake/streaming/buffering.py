@@ -49,22 +49,31 @@ class Buffer(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         records, size, due = self.about.get() or (0, 0, 0)
         at = self.held.names.index(self.line)
+        kept = records > 0  # whether the state holds some
         for frame in rows:
             if self.order:
                 frame = frame.sort_values(self.order, kind="stable")
+            # A frame's full buffers leave together: the state is asked twice a frame, not for each.
+            full: list[tuple] = []
             fresh: list[tuple] = []
             for row in zip(*(frame[name].tolist() for name in self.held.names)):
                 fresh.append(row)
                 records, size = records + 1, size + len((row[at] or "").encode()) + 1
                 if (self.limits.records and records >= self.limits.records) or (self.limits.size and size >= self.limits.size):
-                    yield self._frame(key, [*self.waiting.get(), *fresh])
-                    self.waiting.clear()
+                    if kept:
+                        full += self.waiting.get()
+                        self.waiting.clear()
+                        kept = False
+                    full += fresh
                     fresh, records, size = [], 0, 0
                     if due:
                         self.handle.deleteTimer(due)
                     due = 0
+            if full:
+                yield self._frame(key, full)
             if fresh:
                 self.waiting.appendList(fresh)
+                kept = True
         if records and not due:
             due = timerValues.getCurrentProcessingTimeInMs() + int(1000 * self.limits.seconds)
             self.handle.registerTimer(due)
@@ -135,12 +144,17 @@ def drain(query: StreamingQuery, limits: Limits, wait: float = 300) -> None:
     """Let a run without end read its input and flush all its buffers, then stop it.
 
     What came in by the end of one batch is due ``limits.seconds`` later at most, so the
-    first batch without input that began after that has flushed the last buffer.
+    first batch without input that began after that has flushed the last buffer. ``wait``
+    bounds the seconds without a batch at work, not those that batches take.
     """
     until = time.monotonic() + wait
     base = datetime.now(timezone.utc)
+    seen = None
     while query.exception() is None and time.monotonic() < until:
         last = query.lastProgress
+        at = (last or {}).get("batchId")
+        if at != seen or (query.status["isTriggerActive"] and (last is None or query.status["isDataAvailable"])):
+            seen, until = at, time.monotonic() + wait
         if last:
             began = datetime.fromisoformat(last["timestamp"])
             if last["numInputRows"]:
