@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from tradelake.sources import topics
 from tradelake.streaming.archive import archive_topics, read_archive
 from tradelake.streaming.queries import finish
-from tradelake.streaming.small_files import folder_of, read_small_files, values_of, write_batch
+from tradelake.streaming.small_files import folder_of, opened, read_small_files, values_of, write_batch
 
 RECORD = "topic string, partition int, offset long, timestamp timestamp, key binary, value binary"
 
@@ -49,6 +49,10 @@ def test_odd_topics_and_values_come_back(spark, folder):
     assert sorted((r.topic, r.value) for r in spark.read.text(f"{folder}/out").collect()) == want
 
 
+def test_local_paths_are_taken_as_they_are():
+    assert opened("file:///tmp/a b%20#c")[1] == "/tmp/a b%20#c"
+
+
 def test_missing_values_have_a_folder():
     file = folder_of(["a", "b", "c"], (None, "", "1")) + "/part"
     assert file == "a=__HIVE_DEFAULT_PARTITION__/b=__HIVE_DEFAULT_PARTITION__/c=1/part"

@@ -43,7 +43,7 @@ def values_of(file: str) -> list[str | None]:
 def opened(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     """The file system of a qualified folder and the folder's path in it."""
     if uri.startswith("file:"):
-        uri = "/" + uri[len("file:") :].lstrip("/")
+        return arrow_fs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/")
     return arrow_fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe="/:%"))
 
 
